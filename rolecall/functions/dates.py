@@ -4,28 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# date, optional time of day, optional zone
-_ISO = (
-    r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?)"
-    r"\s*(?:[zZ]|UTC|([+-])((?:[01]\d|2[0-3])):?([0-5]\d)?)?\z"
-)
+_WALL = r"\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?"
+_OFFSET = r"([+-])([01]\d|2[0-3]):?([0-5]\d)?"
+_UTC = rf"^({_WALL})\s*(?:[zZ]|UTC)?\z"
+_SHIFTED = rf"^({_WALL})\s*{_OFFSET}\z"
 
 
 def parse_posted(created: Column) -> Column:
     """ISO 8601 text as UTC time; NULL when empty or not a date.
 
-    The offset is applied to the wall time itself, so neither the session zone nor its
-    daylight-saving rules play a part.
+    An offset is applied to the wall time itself, so neither the session zone nor its
+    daylight-saving rules play a part. Most texts are in UTC and need one match only.
     """
     text = F.trim(created)
-    wall = F.nullif(F.regexp_extract(text, _ISO, 1), F.lit("")).try_cast("timestamp_ntz")
-    sign = F.when(F.regexp_extract(text, _ISO, 2) == "-", -1).otherwise(1)
 
-    def digits(group: int) -> Column:
-        return F.coalesce(F.regexp_extract(text, _ISO, group).try_cast("int"), F.lit(0))
+    def wall(pattern: str) -> Column:
+        return F.regexp_extract(text, pattern, 1).try_cast("timestamp_ntz")
 
-    offset = F.make_dt_interval(hours=sign * digits(3), mins=sign * digits(4))
-    return wall - offset
+    def shift(group: int) -> Column:
+        number = F.regexp_extract(text, _SHIFTED, group).try_cast("int")
+        sign = F.when(F.regexp_extract(text, _SHIFTED, 2) == "-", -1).otherwise(1)
+        return sign * F.coalesce(number, F.lit(0))
+
+    shifted = wall(_SHIFTED) - F.make_dt_interval(hours=shift(3), mins=shift(4))
+    return F.coalesce(wall(_UTC), shifted)
 
 
 def posted_day(time: Column) -> Column:

@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from rolecall.functions.text import strip
+from rolecall.functions.text import BLANK
 from rolecall.schemas import MONEY, SALARY_SIGNS
 
-_NUMBER = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\z"
-_INFINITE = r"(?i)^[+-]?inf(inity)?\z"
+_DIGITS = r"\d+(?:_\d+)*"
+_NUMBER = (
+    rf"(?i)^{BLANK}*("
+    rf"[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?|inf(?:inity)?)"
+    rf"){BLANK}*\z"
+)
 
 
 def normalize_salary(value: Column) -> Column:
     """Salary text as double; NULL when it is missing or not a number."""
-    bare = strip(F.translate(value.cast("string"), SALARY_SIGNS, ""))
-    number = F.when(F.rlike(bare, F.lit(_NUMBER)), F.replace(bare, F.lit("_"), F.lit("")))
-    sign = F.when(F.startswith(bare, F.lit("-")), F.lit("-Infinity")).otherwise("Infinity")
-    endless = F.when(F.rlike(bare, F.lit(_INFINITE)), sign)
-    return F.coalesce(number, endless).try_cast("double")
+    bare = F.regexp_extract(F.translate(value.cast("string"), SALARY_SIGNS, ""), _NUMBER, 1)
+    # Casting an empty text would raise and catch an error for each such row.
+    number = F.nullif(bare, F.lit(""))
+    return F.replace(number, F.lit("_"), F.lit("")).try_cast("double")
 
 
 def to_money(amount: Column) -> Column:

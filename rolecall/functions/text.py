@@ -10,20 +10,25 @@ from pyspark.sql import Column, functions as F
 
 from rolecall.schemas import REMOTE_KEYWORDS, SKILLS, TITLE_NOISE
 
-# Every Unicode blank, control separators included.
-BLANK = r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Every Unicode blank, control separators included: as ranges, as a pattern, as a text.
+_BLANKS = (
+    (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
+    (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+)
+BLANK = "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in _BLANKS) + "]"
+BLANK_TEXT = "".join(chr(c) for a, b in _BLANKS for c in range(a, b + 1))
 # Letters that have a case, and the characters that make up a word.
 CASED = r"\p{IsUppercase}\p{IsLowercase}\p{IsTitlecase}"
 WORD = r"[\p{L}\p{N}_]"
 # U+FFFF is no character, so no text holds it.
 MARK = chr(0xFFFF) + " "
-# Dotted and dotless i and long s match i and s when case is ignored, but do not lower to them.
-ODD_CASE, PLAIN_CASE = chr(0x0130) + chr(0x0131) + chr(0x017F), "iis"
+# Dotted and dotless i, long s and the Kelvin sign: equal to plain letters when case is ignored.
+ODD_CASE, PLAIN_CASE = "".join(map(chr, (0x0130, 0x0131, 0x017F, 0x212A))), "iisk"
 
 
 def strip(text: Column) -> Column:
-    """Remove blanks of any kind at both ends (`trim` knows the space only)."""
-    return F.regexp_replace(text, rf"^{BLANK}+|{BLANK}+\z", "")
+    """Remove blanks of any kind at both ends (plain `trim` knows the space only)."""
+    return F.btrim(text, F.lit(BLANK_TEXT))
 
 
 def title_case(text: Column) -> Column:
@@ -66,24 +71,21 @@ def _whole(term: str) -> str:
     return before + r"\Q" + term + r"\E" + after
 
 
-def _share_words(terms: Sequence[str]) -> bool:
-    """True when two terms could claim the same piece of a text."""
-    words = [w for t in terms for w in set(re.findall(r"\w+", t.lower()))]
-    return len(words) != len(set(words)) or any(not re.fullmatch(r"[\w ]+", t) for t in terms)
-
-
 def extract_skills(description: Column, lexicon: Sequence[str] = SKILLS) -> Column:
     """Lexicon terms that occur as whole words, in lexicon order, each once.
 
-    Terms that share no word can never overlap, so one scan of the text finds them all.
-    Other lexicons are tested term by term.
+    One scan of the text yields its words, and with them all one-word terms. A term with
+    blanks or signs in it is searched for by pattern, where the text contains it at all.
     """
     text = F.coalesce(description, F.lit(""))
-    terms = F.array(*[F.lit(t) for t in lexicon])
-    if _share_words(lexicon):
+    if any(not t.isascii() or t != t.lower() for t in lexicon):
         hits = [F.when(F.rlike(text, F.lit("(?iu)" + _whole(t))), F.lit(t)) for t in lexicon]
         return F.array_compact(F.array(*hits))
-    pattern = "(?iu)(" + "|".join(_whole(t) for t in lexicon) + ")"
-    found = F.array_join(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), "\n")
-    plain = F.lower(F.translate(found, ODD_CASE, PLAIN_CASE))
-    return F.array_intersect(terms, F.split(plain, "\n"))
+    folded = F.lower(F.translate(text, ODD_CASE, PLAIN_CASE))
+    found = F.regexp_extract_all(folded, F.lit(f"{WORD}+"), F.lit(0))
+    phrases = [t for t in lexicon if not re.fullmatch(r"\w+", t)]
+    if phrases:
+        tests = [F.contains(folded, F.lit(t)) & F.rlike(folded, F.lit(_whole(t))) for t in phrases]
+        hits = F.array(*[F.when(test, F.lit(t)) for test, t in zip(tests, phrases)])
+        found = F.concat(found, F.array_compact(hits))
+    return F.array_intersect(F.array(*[F.lit(t) for t in lexicon]), found)

@@ -42,6 +42,8 @@ PAGE = T.StructType(
 )
 
 MONEY = T.DecimalType(10, 2)
+# The least amount that rounds to more than the column holds.
+MONEY_LIMIT = 99_999_999.995
 
 JOBS = T.StructType(
     [
