@@ -188,6 +188,35 @@ def watch_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_terms(remove_terms(_watched(spark, sf_dir), gone)[0])
 
 
+# Questions to the posting table.
+STORED: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "schema_report": schema_report,
+    "ingestion_summary": market.ingestion_summary,
+    "top_companies_all": market.top_companies_all,
+    "remote_breakdown": market.remote_breakdown,
+    "salary_insights": market.salary_insights,
+    "top_locations": market.top_locations,
+    "jobs_per_day": market.jobs_per_day,
+    "top_skills": market.top_skills,
+    "salary_by_title": market.salary_by_title,
+    "remote_salary": market.remote_salary,
+    "company_skills": market.company_skills,
+    "weekly_volume": market.weekly_volume,
+    "salary_range_width": market.salary_range_width,
+    "running_total": market.running_total,
+    "mixed_remote_companies": market.mixed_remote_companies,
+    "kpis": market.kpis,
+    "kpi_labels": market.kpi_labels,
+    "remote_split": market.remote_split,
+    "top_companies_named": market.top_companies_named,
+    "latest_postings": market.latest_postings,
+    "title_search": lambda jobs: market.title_search(jobs, "eng.*r$"),
+    "chart_skills": market.chart_skills,
+    "chart_companies": market.chart_companies,
+    "skill_trend": market.skill_trend,
+    "director_salary": market.director_salary,
+}
+
 QUERIES: dict[str, Query] = {
     # preparation
     "flatten_posting": flatten_posting,
@@ -210,30 +239,6 @@ QUERIES: dict[str, Query] = {
     "watch_list": watch_list,
     "watch_add": watch_add,
     "watch_remove": watch_remove,
-    "schema_report": _over_jobs(schema_report),
-    "ingestion_summary": _over_jobs(market.ingestion_summary),
     # questions
-    "top_companies_all": _over_jobs(market.top_companies_all),
-    "remote_breakdown": _over_jobs(market.remote_breakdown),
-    "salary_insights": _over_jobs(market.salary_insights),
-    "top_locations": _over_jobs(market.top_locations),
-    "jobs_per_day": _over_jobs(market.jobs_per_day),
-    "top_skills": _over_jobs(market.top_skills),
-    "salary_by_title": _over_jobs(market.salary_by_title),
-    "remote_salary": _over_jobs(market.remote_salary),
-    "company_skills": _over_jobs(market.company_skills),
-    "weekly_volume": _over_jobs(market.weekly_volume),
-    "salary_range_width": _over_jobs(market.salary_range_width),
-    "running_total": _over_jobs(market.running_total),
-    "mixed_remote_companies": _over_jobs(market.mixed_remote_companies),
-    "kpis": _over_jobs(market.kpis),
-    "kpi_labels": _over_jobs(market.kpi_labels),
-    "remote_split": _over_jobs(market.remote_split),
-    "top_companies_named": _over_jobs(market.top_companies_named),
-    "latest_postings": _over_jobs(market.latest_postings),
-    "title_search": _over_jobs(lambda jobs: market.title_search(jobs, "eng.*r$")),
-    "chart_skills": _over_jobs(market.chart_skills),
-    "chart_companies": _over_jobs(market.chart_companies),
-    "skill_trend": _over_jobs(market.skill_trend),
-    "director_salary": _over_jobs(market.director_salary),
+    **{key: _over_jobs(question) for key, question in STORED.items()},
 }

@@ -10,7 +10,7 @@ from rolecall.operators.ledger import (
     run_status,
     schema_report,
 )
-from rolecall.operators.pages import assemble_runs
+from rolecall.operators.pages import assemble_runs, failed_runs
 from rolecall.operators.upsert import classify, latest_writes, merge, upsert
 from rolecall.operators.watchlist import add_terms, list_terms, remove_terms, seed_terms
 
@@ -21,6 +21,7 @@ __all__ = [
     "classify",
     "clean_postings",
     "close_runs",
+    "failed_runs",
     "flatten_postings",
     "latest_writes",
     "list_terms",
