@@ -1,6 +1,6 @@
 """Column functions. All are built-in Spark expressions; none starts a Python worker."""
 
-from rolecall.functions.dates import parse_posted, posted_day, posted_week
+from rolecall.functions.dates import parse_posted, posted_day, posted_week, utc_time
 from rolecall.functions.money import avg_money, normalize_salary, percentage, to_money
 from rolecall.functions.text import (
     detect_remote,
@@ -25,4 +25,5 @@ __all__ = [
     "strip",
     "title_case",
     "to_money",
+    "utc_time",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, functions as F
 
 _WALL = r"\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?"
@@ -30,6 +32,13 @@ def parse_posted(created: Column) -> Column:
     return F.coalesce(wall(_UTC), shifted)
 
 
+def utc_time(time: datetime) -> Column:
+    """A Python time as UTC time; one without zone is taken to be UTC already."""
+    if time.tzinfo is not None:
+        time = time.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(time.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def posted_day(time: Column) -> Column:
     return F.to_date(time)
 

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolecall.functions import normalize_keyword
+from rolecall.functions import normalize_keyword, utc_time
 from rolecall.schemas import SEED_TERMS, WATCHED
 
 
@@ -26,8 +26,8 @@ def add_terms(
     watched: DataFrame, new: DataFrame, created_at: datetime
 ) -> tuple[DataFrame, DataFrame]:
     """`(watch list, added)`; a term that is present already keeps its row."""
-    stamp = F.lit(created_at).cast("timestamp_ntz")
-    added = _terms(new).join(watched, "keyword", "left_anti").withColumn("created_at", stamp)
+    added = _terms(new).join(watched, "keyword", "left_anti")
+    added = added.withColumn("created_at", utc_time(created_at))
     return watched.unionByName(added), added
 
 
