@@ -210,14 +210,15 @@ def running_total(jobs: DataFrame) -> DataFrame:
     )
     time = F.col("fetched_at")
     day = F.unix_date(F.to_date(time))
-    second = day.cast("long") * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
-    ticks = (
-        fetched.groupBy("fetched_at")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_day", day)
-        .withColumn("_second", second)
-    )
-    totals = running_sum(ticks, "fetched_at", "_n", ["_day", "_second"], "running_total")
+    clock = F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+    # Known not to be NULL, the slices need no filter below the shuffle of the counts, so
+    # that all levels share that one shuffle and its scan.
+    slices = {
+        "_day": F.coalesce(day, F.lit(0)),
+        "_second": F.coalesce(day.cast("long") * 86400 + clock, F.lit(0)),
+    }
+    ticks = fetched.groupBy("fetched_at").agg(F.count("*").alias("_n")).withColumns(slices)
+    totals = running_sum(ticks, "fetched_at", "_n", list(slices), "running_total")
     return (
         fetched.join(totals.select("fetched_at", "running_total"), "fetched_at")
         .orderBy("fetched_at", "external_id")
