@@ -5,6 +5,7 @@ from rolecall.operators.cleaning import clean_postings, flatten_postings, quaran
 from rolecall.operators.ledger import (
     batch_gates,
     close_runs,
+    failed_keywords,
     open_runs,
     run_manifest,
     run_status,
@@ -21,6 +22,7 @@ __all__ = [
     "classify",
     "clean_postings",
     "close_runs",
+    "failed_keywords",
     "failed_runs",
     "flatten_postings",
     "latest_writes",

@@ -2,5 +2,6 @@
 
 from rolecall.sources.files import read_pages, read_postings, shared_dir
 from rolecall.sources.store import PostingStore
+from rolecall.sources.watched import WatchedTerms
 
-__all__ = ["PostingStore", "read_pages", "read_postings", "shared_dir"]
+__all__ = ["PostingStore", "WatchedTerms", "read_pages", "read_postings", "shared_dir"]
