@@ -40,13 +40,19 @@ def classify(
     keys = incoming.select(key).distinct()
     known = state.join(keys, key, "left_semi").select(key, content)
     # Packed, so that the compared columns are shuffled once and not beside their struct.
-    packed = incoming.select(*[c for c in incoming.columns if c not in compared], content)
+    # A struct is never NULL, and NULLs in it are equal and sort first.
+    steps = {f"_step{i}": F.struct(*level) for i, level in enumerate(arrival)}
+    packed = incoming.select(
+        *[c for c in incoming.columns if c not in compared],
+        content,
+        *[step.alias(name) for name, step in steps.items()],
+    )
     outcome = (
         F.when(F.col(PREVIOUS).isNull(), INSERTED)
         .when(F.col(PREVIOUS).eqNullSafe(F.col("_content")), SKIPPED)
         .otherwise(UPDATED)
     )
-    return previous_values(packed, key, arrival, "_content", known).select(
+    return previous_values(packed, key, list(steps), "_content", known).select(
         *[F.col("_content." + c) if c in compared else F.col(c) for c in incoming.columns],
         outcome.alias("outcome"),
     )

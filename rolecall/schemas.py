@@ -41,6 +41,11 @@ PAGE = T.StructType(
     ]
 )
 
+# The same as text: landing times may come with a zone.
+LANDED_PAGE = T.StructType(
+    [T.StructField(f.name, T.StringType()) if f.name == "landed_at" else f for f in PAGE]
+)
+
 MONEY = T.DecimalType(10, 2)
 # The least amount that rounds to more than the column holds.
 MONEY_LIMIT = 99_999_999.995

@@ -5,14 +5,26 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolecall.schemas import JOBS, PAGE
+from rolecall.functions import parse_posted
+from rolecall.schemas import JOBS, LANDED_PAGE
+
+
+def typed_pages(landed: DataFrame) -> DataFrame:
+    """Landed pages in the page schema."""
+    return landed.withColumn("landed_at", parse_posted(F.col("landed_at")))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed search pages, one JSON object per line."""
-    return spark.read.schema(PAGE).json(path)
+    return typed_pages(spark.read.schema(LANDED_PAGE).json(path))
+
+
+def stream_pages(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
+    """The same as a stream of newly landed files."""
+    reader = spark.readStream.schema(LANDED_PAGE).option("maxFilesPerTrigger", files_per_batch)
+    return typed_pages(reader.json(path))
 
 
 def read_postings(spark: SparkSession, path: str) -> DataFrame:

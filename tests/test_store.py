@@ -24,7 +24,8 @@ def run_pages(day, run, ids, title="dev", error=None, size=3):
     for number, chunk in enumerate(chunks, 1):
         at = START + timedelta(days=day, minutes=run, seconds=number)
         pages.append({
-            "run_id": f"{day}-{run}", "keyword": f"kw {run}", "page": number, "landed_at": at.isoformat(),
+            "run_id": f"{day}-{run}", "keyword": f"kw {run}", "page": number,
+            "landed_at": at.isoformat() + "Z",
             "results": [{"id": i, "title": f"{title} {i}"} for i in chunk],
         })
     if error:
@@ -123,6 +124,10 @@ def test_layers_are_folded(spark, shared):
         store.commit(rows, str(batch), range(3))
         assert {r.external_id: r.title for r in store.read().collect()} == table
         assert max(map(len, store.layers().values())) <= 3
+    store.compact()
+    assert set(map(len, store.layers().values())) == {1}
+    assert {r.external_id: r.title for r in store.read().collect()} == table
+    assert "Join" not in store.read()._jdf.queryExecution().optimizedPlan().toString()
     one = store.read(buckets=[0]).select("external_id").withColumn("b", store.bucket())
     assert {r.b for r in one.collect()} == {0}
     assert read_postings(spark, f"{shared}/data/version=1/bucket=0").columns == JOBS.names
