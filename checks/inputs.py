@@ -59,7 +59,7 @@ FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nation
 # postings and renames some ids.
 ITEMS = """
 SELECT day, concat('run-', CAST(day AS STRING), '-', CAST(g AS STRING)) AS run_id,
-  concat('term ', CAST(g AS STRING)) AS keyword, CAST(page AS INT) AS page, CAST(pos AS INT) AS pos,
+  concat('term ', CAST(day AS STRING), '-', CAST(g AS STRING)) AS keyword, CAST(page AS INT) AS page, CAST(pos AS INT) AS pos,
   CAST(CASE WHEN g % 3 = 0 THEN NULL ELSE 120 + g % 7 * 20 END AS BIGINT) AS total,
   CASE WHEN g % 20 = 19 AND page = 4 THEN 'HTTP 503' ELSE NULL END AS error,
   CAST('2024-01-01 00:00:00' AS {ntz}) + INTERVAL '1' DAY * day

@@ -97,7 +97,11 @@ def upsert(
     compared: Sequence[str] = COMPARED,
     stamp: str = "fetched_at",
 ) -> tuple[DataFrame, DataFrame]:
-    """`(new_state, classified)`; `classified` is `incoming` with `outcome`."""
+    """`(new_state, classified)`; `classified` is `incoming` with `outcome`.
+
+    Both inputs are read several times over, so costly ones should be written first, as
+    `PostingStore.stage` does.
+    """
     classified = classify(incoming, state, arrival, key, compared)
     writes = latest_writes(classified, state.columns, arrival, key, stamp)
     return merge(state, writes, key), classified

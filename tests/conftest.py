@@ -10,6 +10,7 @@ def spark(tmp_path_factory):
         8,
         **{
             "spark.driver.memory": "4g",
+            "spark.sql.shuffle.partitions": "4",
             "spark.sql.session.timeZone": "America/New_York",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
