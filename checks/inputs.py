@@ -121,18 +121,15 @@ def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(RAW, **tables)
 
 
-def numbered_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The posting table with the order number of each row."""
-    return split_failures(clean_postings(raw_postings(spark, sf_dir)))[0]
-
-
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbered_jobs(spark, sf_dir).select(*JOBS.names)
+    """The posting table."""
+    return split_failures(clean_postings(raw_postings(spark, sf_dir)))[0].select(*JOBS.names)
 
 
-def incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
+def incoming(spark: SparkSession, stored: DataFrame) -> DataFrame:
+    """The batch for stored postings, whose ids are their order numbers."""
     sql = INCOMING.replace("{reverse}", "reverse")
-    return spark.sql(sql, jobs=numbered_jobs(spark, sf_dir))
+    return spark.sql(sql, jobs=stored.withColumn("order_no", F.col("external_id").cast("long")))
 
 
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

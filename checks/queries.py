@@ -108,7 +108,8 @@ def _upsert(spark: SparkSession, sf_dir: str) -> tuple[PostingStore, DataFrame]:
     store = PostingStore(spark, shared_dir(spark), buckets=8)
     store.commit(inputs.jobs(spark, sf_dir), "first", range(store.buckets))
     coarse, fine = integer_levels(F.col("arrival"))
-    batch = inputs.incoming(spark, sf_dir).withColumns({"_slice": coarse, "_arrival": fine})
+    batch = inputs.incoming(spark, store.read())
+    batch = batch.withColumns({"_slice": coarse, "_arrival": fine})
     return store, store.stage(batch)
 
 
