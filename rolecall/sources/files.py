@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -33,13 +32,11 @@ def read_postings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below the one the cluster shares (`spark.checkpoint.dir`).
+    """A fresh folder that driver and executors share.
 
-    Only a local session may do without that setting.
+    It lies below `spark.checkpoint.dir`, or below the warehouse where that is unset.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="rolecall-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base}/rolecall-{uuid.uuid4().hex}"
