@@ -1,0 +1,33 @@
+import pytest
+from pyspark.sql import types as T
+
+DOCUMENTS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+        T.StructField("found", T.StringType()),  # clashes with names that operators use inside
+        T.StructField("size", T.StringType()),
+    ]
+)
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Makes a documents table of texts, or of (doc_id, text) pairs, with extra columns."""
+
+    def make(texts):
+        pairs = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
+        rows = [(i, t, "en", "s", len(t or ""), "x", None) for i, t in pairs]
+        return spark.createDataFrame(rows, DOCUMENTS).repartition(3)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def sample(spark):
+    """All documents of the smallest data set, as rows in Python too."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    return rows, [(r.doc_id, r.text) for r in rows.select("doc_id", "text").collect()]

@@ -1,0 +1,104 @@
+import random
+import re
+
+import pytest
+import xxhash
+
+from rolecall.llm.simhash import BKTree, linked, near_duplicates, spanning_links
+
+
+def brute_print(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(nodes, radius):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    nodes = list(nodes)
+    for i, a in enumerate(nodes):
+        for b in nodes[i + 1 :]:
+            if (a ^ b).bit_count() <= radius:
+                root[find(b)] = find(a)
+    return {n: find(n) for n in nodes}
+
+
+def check(rows, texts):
+    got = near_duplicates(rows).collect()
+    prints = [(i, brute_print(t)) for i, t in texts]
+    root = brute_components({p for _, p in prints}, 3)
+    least = {}
+    for i, p in prints:
+        if i is not None:
+            least[root[p]] = min(i, least.get(root[p], i))
+    want = [(i, p, least.get(root[p])) for i, p in prints]
+    key = lambda r: (str(r[0]), r[1])
+    assert sorted([(r[0], r[1] & (2**64 - 1), r[2]) for r in got], key=key) == sorted(want, key=key)
+
+
+def test_sample(sample):
+    check(*sample)
+
+
+def test_edge_cases(documents):
+    texts = [
+        (1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "One"), (6, "one two"), (None, "one two three"),
+        (7, "ONE two three"), (7, "ONE two three"), (None, "lone words stand here alone"), (8, "É\x85é a\xa0b c"),
+        (9, "a\x1cb c d"), (10, "w " * 30_000),
+    ]
+    check(documents(texts), texts)
+    assert near_duplicates(documents(["a"]).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("tree_size", [2048, 7])
+def test_links_lose_nothing(spark, tree_size):
+    rng = random.Random(3)
+    values = {rng.getrandbits(64) for _ in range(60)}
+    for v in list(values):
+        for _ in range(rng.choice([0, 1, 3, 20])):
+            for b in rng.sample(range(64), rng.randint(1, 3)):
+                v ^= 1 << b
+            values.add(v)
+    signed = [(v - (v >> 63 << 64),) for v in values]
+    rows = spark.createDataFrame(signed, "fingerprint long")
+    links = [(r.a & (2**64 - 1), r.b & (2**64 - 1)) for r in linked(rows, 3, tree_size).collect()]
+    assert all(0 < (a ^ b).bit_count() <= 3 for a, b in links)
+    root = {v: v for v in values}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    want = brute_components(values, 3)
+    groups = lambda of: sorted(sorted(v for v in values if of(v) == r) for r in {of(v) for v in values})
+    assert groups(find) == groups(want.get)
+
+
+def test_tree_edges_are_distances():
+    rng = random.Random(1)
+    values = list({rng.getrandbits(12) for _ in range(300)})
+    tree = BKTree(values)
+    for node, below in enumerate(tree.children):
+        for edge, child in below.items():
+            assert (tree.values[node] ^ tree.values[child]).bit_count() == edge
+    import numpy as np
+
+    found = {tree.values[n]: {values[i] for i in hits} for n, hits in tree.search(np.array(values, np.uint64), 2)}
+    for v, hits in found.items():
+        assert all((v ^ w).bit_count() <= 2 for w in hits)
+    pairs = {(v, w) for v, hits in found.items() for w in hits}
+    assert pairs == {(v, w) for v in values for w in values if (v ^ w).bit_count() <= 2}
+    assert len(spanning_links(values, 12)) == len(values) - 1
