@@ -10,7 +10,9 @@ capacity, and the last remainder is cut into powers of two, which need no paddin
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -19,6 +21,17 @@ from pyspark.sql import DataFrame, functions as F
 from rolecall.llm.common import texts_of
 
 ID_BYTES = 4
+_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#$%&*|]+)?").fullmatch
+
+
+def _spelling() -> list[str]:
+    """How byte-level BPE spells each byte: visible Latin-1 as itself, the rest from U+0100 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in visible else next(others)) for b in range(256)]
+
+
+_SPELLING = _spelling()
 PIECES = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -41,14 +54,17 @@ class WordCache:
 
     A byte-level BPE tokenizer of this pattern never joins what stands before a space and a
     non-space with what follows, so texts are cut there and each distinct word is encoded
-    once. `limit` bounds the memory: a full cache starts anew.
+    once. Nor does it join plain letters with the marks behind them, so these are encoded
+    apart, straight by the tokenizer's model. `limit` bounds the memory: a full cache starts
+    anew.
     """
 
-    def __init__(self, tokenizer_file: str, limit: int = 400_000):
+    def __init__(self, tokenizer_file: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True  # their names in a text are plain text
+        self.tokenize = self.tokenizer.model.tokenize
         self.limit, self.known = limit, {}
 
     @staticmethod
@@ -64,21 +80,39 @@ class WordCache:
                 words.append(" " + w)
         return words
 
+    def _part(self, part: str) -> bytes:
+        """Ids of plain letters, or of plain marks, which are one piece to the tokenizer."""
+        ids = self.known.get(part)
+        if ids is None:
+            spelled = "".join([_SPELLING[b] for b in part.encode()])
+            ids = self.known[part] = b"".join([t.id.to_bytes(ID_BYTES, "little") for t in self.tokenize(spelled)])
+        return ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:
-            self.known = {}
+            self.known.clear()
         known = self.known
         cut = [self.words(t) for t in texts]
-        new = list({w for words in cut for w in words if w not in known})
-        import numpy as np
-
-        for i in range(0, len(new), 10_000):
-            some = new[i : i + 10_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        odd = []
+        for w in {w for words in cut for w in words}.difference(known):
+            plain = _PLAIN(w)
+            if plain is None:
+                odd.append(w)
+            elif plain[2]:
+                known[w] = self._part(plain[1]) + self._part(plain[2])
+            else:
+                self._part(w)
+        for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+            known[w] = b"".join([i.to_bytes(ID_BYTES, "little") for i in e.ids])
         return [b"".join(map(known.__getitem__, words)) for words in cut]
 
 
+@lru_cache(maxsize=1)
+def word_cache(tokenizer_file: str) -> WordCache:
+    """The cache of a Python worker, which serves one task after the other."""
+    return WordCache(tokenizer_file)
+
+
 def harmonic_cut(length: int, capacity: int, least: int) -> list[int]:
     """Cut a length into whole sequences, then exact class sizes, then what is at most `least`."""
     sizes = [capacity] * (length // capacity)
@@ -156,7 +190,7 @@ def pack(
     """
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(tokenizer_file)
+        cache = word_cache(tokenizer_file)
         worker = Worker(capacity, least, TaskContext.get().partitionId() << 33)
         end = end_id.to_bytes(ID_BYTES, "little")
 

@@ -18,7 +18,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rolecall.llm.common import groups, texts_of, written
 from rolecall.llm.components import components
@@ -45,7 +45,7 @@ def fingerprint(text: bytes, shingle: int, digest: Callable[..., int]) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and fingerprint (long) of every row; NULL text counts as empty."""
+    """doc_id, text_key (a hash of the text) and fingerprint (long) of every row."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
@@ -53,11 +53,16 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
         for batch in batches:
             prints = [fingerprint(t, shingle, xxh64_intdigest) for t in texts_of(batch, "text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(prints, pa.int64())], ["doc_id", "fingerprint"]
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(prints, pa.int64())],
+                ["doc_id", "text_key", "fingerprint"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(work, "doc_id long, fingerprint long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key(docs).alias("text_key"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(work, "doc_id long, text_key long, fingerprint long")
+
+
+def _key(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
 
 
 class BKTree:
@@ -157,20 +162,43 @@ def linked(prints: DataFrame, distance: int = 3, tree_size: int = 2048) -> DataF
     return ordered.mapInArrow(work, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """doc_id, fingerprint (long), component_id (smallest doc_id reachable) of every row.
-
-    Rows without words have fingerprint zero and link like any other. Repeated rows stay.
-    NULL doc_ids take part, and never name a component that has another id; a component
-    of NULL ids alone is NULL. No rows give none. Other columns are not read.
-    """
+def _grouped(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and (`fingerprint`, `first_id`, `root`) of each fingerprint."""
     prints = written(fingerprints(docs, shingle))
     distinct = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
     roots = components(linked(distinct, distance))
     named = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")
     )
-    named = written(named)
+    return prints, written(named)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """doc_id, fingerprint (long), component_id (smallest doc_id reachable) of every row.
+
+    NULL text counts as empty; rows without words have fingerprint zero and link like any
+    other. Repeated rows stay. NULL doc_ids take part, and never name a component that has
+    another id; a component of NULL ids alone is NULL. No rows give none. Other columns are
+    not read.
+    """
+    prints, named = _grouped(docs, shingle, distance)
     first = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     ids = named.join(first, "root").select("fingerprint", "component_id")
     return prints.join(ids, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """One row of each component of `near_duplicates`, with all columns of `docs`.
+
+    It is the one of the smallest doc_id; of rows that share it, that of the smallest text
+    hash; of rows with that text, any one. NULL ids count as the largest.
+    """
+    prints, named = _grouped(docs, shingle, distance)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    first = prints.groupBy("fingerprint").agg(F.min(order).alias("row")).join(named, "fingerprint")
+    first = first.groupBy("root").agg(F.min("row").alias("row")).select(
+        F.col("row.doc_id").alias("_doc"), F.col("row.text_key").alias("_text")
+    )
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text"))
+    kept = docs.withColumn("_key", _key(docs)).join(first, same, "left_semi")
+    return kept.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)

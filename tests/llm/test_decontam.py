@@ -1,0 +1,117 @@
+import random
+
+import numpy as np
+import pytest
+
+from rolecall.llm.decontam import Walks, clean, edit_distance, find_items, repeats_for, words_of
+
+
+def brute(docs, items, share=0.2):
+    out = {}
+    for doc_id, text in docs:
+        words = words_of((text or "").encode())
+        for item_id, item in items:
+            want = words_of((item or "").encode())
+            limit = int(share * len(want))
+            if not want or not words:
+                continue
+            for start in range(max(1, len(words) - len(want) + 1)):
+                window = words[start : start + len(want)]
+                edits = distance(window, want)
+                if edits <= limit:
+                    best, n = out.get((doc_id, item_id), ((99, 0, 0), 0))
+                    out[doc_id, item_id] = (min(best, (edits, start, len(window))), n + 1)
+    return out
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def edited(rng, words, edits):
+    words = list(words)
+    for _ in range(edits):
+        at = rng.randrange(len(words))
+        kind = rng.randrange(3)
+        if kind == 0:
+            words[at] = f"new{rng.randrange(99)}"
+        elif kind == 1:
+            words.insert(at, "more")
+        elif len(words) > 1:
+            del words[at]
+    return words
+
+
+@pytest.fixture(scope="module")
+def case():
+    rng = random.Random(4)
+    common = ["the", "of", "and", "in"]
+    word = lambda: rng.choice(common) if rng.random() < 0.4 else "".join(rng.choices("abcdefg", k=5))
+    items = [(i, " ".join(word() for _ in range(rng.randint(8, 40)))) for i in range(40)]
+    items += [(100, None), (101, " . "), (102, "Two words"), (None, "null item id is kept here too"), (7, items[7][1])]
+    docs = []
+    for i in range(160):
+        words = [word() for _ in range(rng.randint(0, 120))]
+        if i % 2:
+            item = items[rng.randrange(40)][1].split()
+            at = rng.randint(0, len(words))
+            words[at:at] = edited(rng, item, rng.randint(0, len(item) // 5))
+        docs.append((i, " ".join(words).capitalize() + "."))
+    docs += [(500, None), (501, ""), (502, items[3][1].upper().replace(" ", ",\n")), (None, items[4][1]), (503, items[5][1] * 1 + " end " * 20_000)]
+    docs += [(504, "NULL item id is kept, here too"), (505, "two-words"), (502, items[3][1])]
+    return docs, items
+
+
+@pytest.mark.parametrize("limit", [500_000, 3])
+def test_against_brute_force(spark, documents, case, limit):
+    docs, items = case
+    some = docs if limit > 3 else [d for d in docs if d[0] != 503][:60]
+    table = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, size string")
+    got = find_items(documents(some), table, max_vocabulary=limit).collect()
+    found = {(r.doc_id, r.item_id): ((r.edits, r.start, r.n_words), r.windows) for r in got}
+    want = brute(some, list(dict.fromkeys(items)))
+    assert found.keys() <= want.keys()
+    assert len(found) >= 0.99 * len(want)
+    exact = {k for k, (best, _) in want.items() if not best[0]}
+    assert exact <= found.keys()
+    assert sum(found[k][0] == want[k][0] for k in found) >= 0.97 * len(found)
+
+
+def test_clean(spark, documents, case):
+    docs, items = case
+    rows = documents([d for d in docs if d[0] != 503])
+    table = spark.createDataFrame(items, "item_id long, text string")
+    held = {k[0] for k in brute([d for d in docs if d[0] != 503], items)}
+    kept = {r.doc_id for r in clean(rows, table).collect()}
+    assert not kept & held or len(kept & held) <= 1
+    assert kept >= {d[0] for d in docs if d[0] != 503} - held
+    assert clean(rows, table.limit(0)).count() == rows.count()
+    assert find_items(rows.limit(0), table).count() == 0
+
+
+def test_recall_at_the_limit():
+    """Windows at the largest distance still become candidates."""
+    rng = random.Random(1)
+    repeats, hits, n = repeats_for(0.99, 3, 0.5), 0, 300
+    for _ in range(n):
+        size = rng.randint(12, 60)
+        item = [rng.getrandbits(63) | 1 for _ in range(size)]
+        other = edited(rng, item, size // 10)[:size]
+        ids = lambda ws: np.array([w if isinstance(w, int) else 0 for w in ws] + [0] * (size - len(ws)), np.uint64)
+        walks = Walks(size, repeats, 3)
+        keys = walks.keys(np.stack([ids(item), ids(other)]), np.array([size, len(other)]))
+        hits += bool((keys[0] == keys[1]).any())
+    assert hits >= 0.97 * n
+
+
+def test_edit_distance():
+    rng = random.Random(2)
+    for _ in range(300):
+        a, b = ([rng.randint(1, 4) for _ in range(rng.randint(1, 9))] for _ in range(2))
+        for most in (0, 2, 9):
+            assert edit_distance(a, b, most) == min(distance(a, b), most + 1)

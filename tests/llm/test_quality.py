@@ -1,0 +1,66 @@
+import random
+import zlib
+
+import numpy as np
+
+from rolecall.llm.quality import Encoder, fit, index_vectors, classify, shape, word_vectors, ROWS, WIDTH, REACH
+
+
+def test_held_out_accuracy(spark):
+    """Trained on three folds, right on the fourth."""
+    path = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
+    got = classify(docs, labels)
+    assert got.count() == docs.count()
+    rows = got.join(labels, "doc_id").filter("held_out").collect()
+    assert len(rows) > 50
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.93
+    loss = np.mean([-np.log(max(1e-9, r.score if r.quality else 1 - r.score)) for r in rows])
+    assert loss < 0.25
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+
+
+def test_edge_cases(spark, documents):
+    rng = random.Random(1)
+    good = [" ".join(rng.choices(["plain", "words", "of", "prose", "here"], k=40)) for _ in range(40)]
+    bad = [" ".join(rng.choices(["BUY!!", "NOW!!", "$$$", "###"], k=40)) for _ in range(40)]
+    docs = [*enumerate(good + bad), (None, "x"), (100, None), (101, ""), (102, "w " * 50_000), (0, good[0])]
+    rows = documents(docs)
+    marks = [(i, int(i < 40), None, "x") for i in range(80)] + [(0, 1, 1, "y"), (None, 1, 0, "z"), (5, None, 0, "z")]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int, found string")
+    got = classify(rows, labels).collect()
+    assert len(got) == len(docs)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
+    assert all(r.predicted == (r.doc_id < 40) for r in got if r.doc_id is not None and r.doc_id < 80)
+    none = classify(rows, labels.limit(0)).collect()
+    assert {r.score for r in none} == {0.5}
+    assert classify(rows.limit(0), labels).count() == 0
+
+
+def test_word_vectors(documents):
+    texts = ["a b c", "b A, a a", None, "", "c " * 5]
+    places, signs = index_vectors()
+    encode, total = Encoder(), np.zeros((ROWS, WIDTH))
+    for t in texts:
+        rows, shapes = encode((t or "").encode())
+        for i in range(len(rows)):
+            for away in REACH:
+                if 0 <= i - away < len(rows):
+                    for own in (rows[i], shapes[i]):
+                        total[own, places[rows[i - away]]] += signs[rows[i - away]]
+    norm = np.linalg.norm(total, axis=1, keepdims=True)
+    total /= np.maximum(norm, 1e-9)
+    for k in range(places.shape[1]):
+        total[np.arange(ROWS), places[:, k]] += signs[:, k] / 2
+    assert np.allclose(word_vectors(documents(texts)), total, atol=1e-5)
+
+
+def test_shapes():
+    assert shape(b"THE!!") == b"\0A!" and shape("Élan".encode()) == b"\0a" and shape(b"ab12,") == b"\0a9,"
+
+
+def test_network_needs_two_kinds():
+    x = np.random.default_rng(0).normal(size=(30, 4))
+    assert np.allclose(fit(x, np.ones(30)).probability(x), 30.5 / 31)
+    y = (x[:, 0] > 0).astype(float)
+    assert np.mean((fit(x, y, epochs=200).probability(x) > 0.5) == y) > 0.8

@@ -1,0 +1,64 @@
+import base64
+import gzip
+import hashlib
+
+import pytest
+
+from rolecall.llm.warc import read_archives, read_records, write_archives
+
+SCHEMA = "page_id long, url string, html string, digest string, original long"
+
+
+def expected(rows, least=0):
+    largest = {}
+    for i, _, h, *_ in rows:
+        if i is not None:
+            largest[h or ""] = max(i, largest.get(h or "", i))
+    out = []
+    for i, _, h, *_ in rows:
+        b = (h or "").encode()
+        top = largest.get(h or "")
+        digest = base64.b32encode(hashlib.sha1(b).digest()).decode()
+        revisit = len(b) >= least and top is not None and i != top
+        out.append((i, len(b), digest, "revisit" if revisit else "response", top if revisit else None))
+    return out
+
+
+def facts(rows):
+    return sorted([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows], key=str)
+
+
+HOSTILE = "x\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n<p>é😀\x00"
+ROWS = [
+    (1, "http://a/ b\n", "same", "d", 0), (2, None, "same", "d", 0), (9, "u", "same", None, None), (9, "u", "same", None, 1),
+    (3, "u", None, "d", 0), (4, "u", "", "d", 0), (5, "u", HOSTILE, "d", 0), (None, "u", HOSTILE, "d", 0),
+    (None, "u", "only null", "d", 0), (None, "v", "only null", "d", 0), (7, "u", "long " * 200_000, "d", 0),
+]
+
+
+@pytest.mark.parametrize("least", [0, 5])
+def test_round_trip(spark, shared, least):
+    pages = spark.createDataFrame(ROWS, SCHEMA).repartition(3)
+    write_archives(pages, shared, least_bytes=least)
+    got = read_archives(spark, shared).collect()
+    assert facts(got) == sorted(expected(ROWS, least), key=str)
+    want = sorted((str(i), h or "") for i, _, h, *_ in ROWS)
+    assert sorted((str(r.page_id), r.payload) for r in got) == want
+    raw = read_records(spark, shared).collect()
+    assert all(r.payload is None for r in raw if r.record_type == "revisit")
+
+
+def test_sample_and_files(spark, shared, tmp_path):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    write_archives(pages, str(tmp_path / "w"), records_per_file=7)
+    rows = [(r.page_id, r.url, r.html) for r in pages.collect()]
+    got = read_archives(spark, str(tmp_path / "w"), payloads=False).collect()
+    assert facts(got) == sorted(expected(rows), key=str)
+    files = sorted((tmp_path / "w").glob("part-*.gz"))
+    records = [gzip.open(f).read().count(b"WARC/1.1\r\nWARC-Type") for f in files]
+    assert max(records) <= 7 and sum(records) == len(rows)
+
+
+def test_no_rows(spark, shared):
+    write_archives(spark.createDataFrame([], SCHEMA), shared)
+    assert read_archives(spark, shared).count() == 0
