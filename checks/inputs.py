@@ -18,14 +18,14 @@ from rolecall.schemas import JOBS, PAGE
 RAW = """
 SELECT o_orderkey AS order_no,
   CASE WHEN o_orderkey % 97 = 5 THEN '' ELSE CAST(o_orderkey AS STRING) END AS external_id,
-  concat('  ',
+  CASE WHEN o_orderkey % 61 = 4 THEN NULL ELSE concat('  ',
     CASE o_custkey % 4 WHEN 0 THEN 'senior ' WHEN 1 THEN 'lead ' WHEN 2 THEN 'director of ' ELSE '' END,
     CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'data engineer' WHEN '2' THEN 'analytics engineer'
-      WHEN '3' THEN 'data analyst' WHEN '4' THEN 'machine-learning engineer' ELSE 'dev''s backend engineer' END,
+      WHEN '3' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'ingénieur de données' ELSE 'data analyst' END WHEN '4' THEN 'machine-learning engineer' ELSE 'dev''s backend engineer' END,
     CASE o_orderkey % 6 WHEN 0 THEN ' - Remote ' WHEN 1 THEN ' (remote)' WHEN 2 THEN ' - USA'
-      WHEN 3 THEN ' US-' ELSE '' END) AS title,
+      WHEN 3 THEN ' US-' ELSE '' END) END AS title,
   CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE c_name END AS company,
-  concat(n_name, ', ', c_mktsegment) AS location,
+  CASE WHEN o_orderkey % 67 = 2 THEN NULL ELSE concat(n_name, ', ', c_mktsegment) END AS location,
   CASE WHEN o_orderkey % 101 = 7 THEN concat(n_name, ' (long)') ELSE n_name END AS country,
   CASE WHEN o_orderkey % 83 = 9 THEN '999999999999'
     ELSE CASE o_orderkey % 5 WHEN 0 THEN NULL
@@ -47,7 +47,8 @@ SELECT o_orderkey AS order_no,
       ELSE ' On-site.' END) END AS description,
   concat('https://jobs.example/', CAST(o_orderkey AS STRING)) AS url,
   CASE WHEN o_orderkey % 89 = 3 THEN 'not a date' WHEN o_orderkey % 17 = 0 THEN NULL
-    ELSE concat(CAST(CAST(o_orderdate AS DATE) AS STRING), 'T08:30:00Z') END AS date_posted,
+    ELSE concat(CAST(CAST(o_orderdate AS DATE) AS STRING),
+      CASE o_orderkey % 13 WHEN 4 THEN 'T08:30:00+02:00' WHEN 5 THEN 'T20:30:00-0500' ELSE 'T08:30:00Z' END) END AS date_posted,
   CASE WHEN o_orderkey % 211 = 1 THEN NULL
     ELSE o_orderdate + INTERVAL '1' HOUR * CAST(o_orderkey % 24 AS INT) END AS fetched_at
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
@@ -55,20 +56,21 @@ FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nation
 
 # The postings as search results of two days: 300 orders make up a run, so runs grow in
 # number, not in size. Of five runs one has a short page, one an empty page (its page 2
-# lists nothing) and, at times, one a page that failed. The second day changes some
-# postings and renames some ids.
+# lists nothing) and, at times, one a page that failed. Of twelve, one has good postings only
+# and one has none with an id. The second day changes some postings and renames some ids.
 ITEMS = """
 SELECT day, concat('run-', CAST(day AS STRING), '-', CAST(g AS STRING)) AS run_id,
-  concat('term ', CAST(day AS STRING), '-', CAST(g AS STRING)) AS keyword, CAST(page AS INT) AS page, CAST(pos AS INT) AS pos,
+  concat('term ', CAST(day AS STRING), '-', CAST(g AS STRING)) AS keyword, CAST(page AS INT) AS page,
+  CAST(row_number() OVER (PARTITION BY day, g, page ORDER BY pos) - 1 AS INT) AS pos,
   CAST(CASE WHEN g % 3 = 0 THEN NULL ELSE 120 + g % 7 * 20 END AS BIGINT) AS total,
   CASE WHEN g % 20 = 19 AND page = 4 THEN 'HTTP 503' ELSE NULL END AS error,
   CAST('2024-01-01 00:00:00' AS {ntz}) + INTERVAL '1' DAY * day
     + INTERVAL '1' MINUTE * CAST(g % 1440 AS INT) + INTERVAL '1' SECOND * CAST(page AS INT) AS landed_at,
-  CASE WHEN order_no % 37 = 0 THEN NULL
+  CASE WHEN order_no % 37 = 0 OR g % 12 = 6 THEN NULL
     WHEN order_no % 10 = 0 THEN CAST(order_no - 7 AS STRING)
     WHEN day = 2 AND order_no % 9 = 4 THEN concat(external_id, '-b')
     ELSE external_id END AS id,
-  CASE WHEN day = 2 AND order_no % 4 = 1 THEN concat('chief ', trim(title)) ELSE title END AS title,
+  CASE WHEN day = 2 AND order_no % 4 = 1 THEN 'chief ' || trim(title) ELSE title END AS title,
   company, location, country, salary_min, salary_max,
   CASE WHEN day = 2 AND order_no % 8 = 2 THEN NULL ELSE description END AS description,
   url, date_posted, g % 5 = 2 AS gap
@@ -83,6 +85,16 @@ FROM (
     FROM (SELECT *, {each_day} AS day FROM {raw}) daily
   ) numbered
 ) placed
+WHERE NOT (g % 12 = 4 AND (order_no % 97 = 5 OR order_no % 101 = 7 OR order_no % 83 = 9 OR order_no % 89 = 3
+  OR order_no % 37 = 0))
+"""
+
+# A watch list of its own: searches of both days, and two that nobody runs. `ran` says which.
+WATCHLIST = """
+SELECT DISTINCT concat('term ', CAST(day AS STRING), '-', CAST(g AS STRING)) AS keyword, g % 20 <> 19 AS ran
+FROM (SELECT CAST(floor(order_no / 300) AS BIGINT) AS g, 1 + order_no % 2 AS day FROM {raw}) searches
+WHERE g % 20 = 0 OR g % 20 = 19
+UNION ALL SELECT 'never one', false UNION ALL SELECT 'never two', false
 """
 
 # A batch over the stored postings: new ids, changed and unchanged content, every posting
@@ -108,22 +120,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """A file of one block is one task, so hand its rows to all cores. Inputs of many
-    blocks are left as they are."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {n: table(spark, sf_dir, n) for n in ("orders", "customer", "nation")}
-    tables["orders"] = spread(tables["orders"], "o_orderkey")
     return spark.sql(RAW, **tables)
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The posting table."""
-    return split_failures(clean_postings(raw_postings(spark, sf_dir)))[0].select(*JOBS.names)
+    """The posting table; some flags are not known."""
+    rows = split_failures(clean_postings(raw_postings(spark, sf_dir)))[0]
+    known = F.when(F.col("order_no") % 59 != 0, F.col("is_remote"))
+    return rows.withColumn("is_remote", known).select(*JOBS.names)
 
 
 def incoming(spark: SparkSession, stored: DataFrame) -> DataFrame:

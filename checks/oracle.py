@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.inputs import INCOMING, ITEMS, RAW, TERMS
+from checks.inputs import INCOMING, ITEMS, RAW, TERMS, WATCHLIST
 from rolecall.schemas import COMPARED, JOBS, MAX_LENGTH, REMOTE_KEYWORDS, SKILLS, TITLE_NOISE
 
 _BASE = {n: n for n in ("orders", "customer", "nation", "part")}
@@ -18,7 +18,7 @@ def _title(column: str) -> str:
     bare = f"regexp_replace(coalesce({column}, ''), '^\\s+|\\s+$', '', 'g')"
     for end in TITLE_NOISE:
         bare = f"regexp_replace({bare}, '{end}', '', 'i')"
-    runs = f"regexp_extract_all(trim({bare}), '[A-Za-z]+|[^A-Za-z]+')"
+    runs = f"regexp_extract_all(trim({bare}), '\\p{{L}}+|\\P{{L}}+')"
     return f"array_to_string(list_transform({runs}, lambda r: upper(r[1]) || lower(r[2:])), '')"
 
 
@@ -40,9 +40,11 @@ _SKILLS = (
     "list_filter([" + ", ".join(f"'{s}'" for s in SKILLS)
     + "], lambda s: regexp_matches(coalesce(description, ''), '\\b' || s || '\\b', 'i'))"
 )
+_WALL = "CAST(replace(substr(date_posted, 1, 19), 'T', ' ') AS TIMESTAMP)"
 _POSTED = (
-    "CASE WHEN regexp_full_match(date_posted, '\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}Z') "
-    "THEN CAST(replace(replace(date_posted, 'T', ' '), 'Z', '') AS TIMESTAMP) END"
+    f"CASE WHEN date_posted LIKE '____-__-__T__:__:__Z' THEN {_WALL} "
+    f"WHEN date_posted LIKE '____-__-__T__:__:__+02:00' THEN {_WALL} - INTERVAL 2 HOUR "
+    f"WHEN date_posted LIKE '____-__-__T__:__:__-0500' THEN {_WALL} + INTERVAL 5 HOUR END"
 )
 
 
@@ -65,7 +67,10 @@ FROM (SELECT * REPLACE ({_title('title')} AS title, {_POSTED} AS date_posted),
 _JOB_COLUMNS = ", ".join(JOBS.names)
 _RAW_CTE = f"raw AS ({_fill(RAW)})"
 _CLEAN_CTE = f"{_RAW_CTE}, cleaned AS ({_cleaned('raw', 'order_no')})"
-_JOBS_CTE = f"{_CLEAN_CTE}, jobs AS (SELECT * EXCLUDE (failure) FROM cleaned WHERE failure IS NULL)"
+_JOBS_CTE = (
+    f"{_CLEAN_CTE}, jobs AS (SELECT * EXCLUDE (failure) "
+    "REPLACE (CASE WHEN order_no % 59 <> 0 THEN is_remote END AS is_remote) FROM cleaned WHERE failure IS NULL)"
+)
 
 
 def _over_raw(sql: str) -> str:
@@ -120,10 +125,15 @@ broken AS (SELECT DISTINCT run_id FROM items JOIN stops USING (run_id)
 assembled AS (SELECT firsts.* FROM firsts JOIN stops USING (run_id)
   WHERE fresh AND page <= coalesce(stop, 5) AND run_id NOT IN (SELECT run_id FROM broken))"""
 
-_FETCHED_CTE = f"""{_ASSEMBLED_CTE},
+# All landed pages of runs without a failed page; an id counts once per run.
+_FETCHED_CTE = f"""{_ITEMS_CTE},
+broken AS (SELECT DISTINCT run_id FROM items WHERE error IS NOT NULL),
+fetched AS (SELECT *, max(landed_at) OVER (PARTITION BY run_id) AS own_end,
+    id IS NULL OR row_number() OVER (PARTITION BY run_id, id ORDER BY page, pos) = 1 AS fresh FROM items),
+assembled AS (SELECT * FROM fetched WHERE fresh AND run_id NOT IN (SELECT run_id FROM broken)),
 flat AS (SELECT * EXCLUDE (id, landed_at), id AS external_id, landed_at AS fetched_at FROM assembled),
-cleaned AS ({_cleaned('flat', 'run_id, keyword, page, pos')}),
-placed AS (SELECT *, row_number() OVER (ORDER BY fetched_at, keyword, run_id, page, pos) AS arrival
+cleaned AS ({_cleaned('flat', 'run_id, keyword, page, pos, own_end')}),
+placed AS (SELECT *, row_number() OVER (ORDER BY own_end, keyword, run_id, page, pos) AS arrival
   FROM cleaned WHERE failure IS NULL)"""
 
 
@@ -161,7 +171,10 @@ ledger AS (SELECT r.run_id, r.keyword, count(outcome) AS fetched_count,
   LEFT JOIN counted c ON c.run_id = r.run_id LEFT JOIN broken b ON b.run_id = r.run_id
   GROUP BY r.run_id, r.keyword, r.started_at, r.completed_at),
 statuses AS (SELECT *, CASE WHEN errored THEN 'failed' WHEN failed_count = 0 THEN 'success'
-  WHEN inserted_count + updated_count + skipped_count > 0 THEN 'partial' ELSE 'failed' END AS status FROM ledger)"""
+  WHEN inserted_count + updated_count + skipped_count > 0 THEN 'partial' ELSE 'failed' END AS status,
+  CAST(0 AS BIGINT) AS dropped_count FROM ledger
+  UNION ALL SELECT 'next-' || run_id, keyword, 0, 0, 0, 0, 0, min(landed_at), NULL, false, 'running', 0
+  FROM landings WHERE run_id LIKE 'run-2-%' GROUP BY run_id, keyword)"""
 
 _TERMS_CTE = f"""names AS ({_fill(TERMS)}),
 terms AS (SELECT DISTINCT lower(trim(regexp_replace(keyword, '\\s+', ' ', 'g'))) AS keyword FROM names)"""
@@ -218,12 +231,25 @@ ORACLE = {
     "run_ledger": f"""WITH {_LEDGER_CTE} SELECT * REPLACE (CAST(started_at AS VARCHAR) AS started_at,
   CAST(completed_at AS VARCHAR) AS completed_at) FROM statuses""",
     "run_status": f"WITH {_LEDGER_CTE} SELECT status, errored, count(*) AS runs FROM statuses GROUP BY status, errored",
-    "batch_gates": f"""WITH {_LEDGER_CTE}, facts AS (SELECT count(DISTINCT keyword) AS keywords,
-  count(*) FILTER (NOT errored) AS succeeded, CAST(sum(inserted_count) FILTER (NOT errored) AS BIGINT) AS inserted
-  FROM statuses)
-SELECT keywords, succeeded, keywords AS required, inserted, succeeded >= keywords AS ok,
-  CASE WHEN succeeded < keywords THEN printf('only %d of %d keywords succeeded, %d required', succeeded, keywords, keywords)
-  END AS reason FROM facts""",
+    "batch_gates": f"""WITH {_LEDGER_CTE}, watchlist AS ({_fill(WATCHLIST, raw='raw')}),
+results AS (SELECT w.keyword, w.ran AS fine, count(s.keyword) > 0 AS ran,
+    coalesce(bool_or(NOT errored AND status <> 'running'), false) AS succeeded,
+    coalesce(sum(inserted_count) FILTER (NOT errored AND status <> 'running'), 0) AS inserted
+  FROM watchlist w LEFT JOIN statuses s ON s.keyword = w.keyword GROUP BY ALL),
+demands AS (SELECT * FROM (VALUES ('all', NULL, 0), ('some', 1, 0), ('many inserted', 1, 1000000000), ('ran', NULL, 0),
+  ('none', NULL, 0)) t(demand, least, least_inserted)),
+counted_ AS (SELECT demand, least, least_inserted, count(r.keyword) AS keywords,
+    count(*) FILTER (succeeded) AS succeeded, CAST(coalesce(sum(inserted), 0) AS BIGINT) AS inserted,
+    list_sort(list(r.keyword || CASE WHEN ran THEN '' ELSE ' (not run)' END) FILTER (NOT succeeded)) AS names
+  FROM demands LEFT JOIN results r ON demand <> 'none' AND (demand <> 'ran' OR fine) GROUP BY ALL)
+SELECT demand, keywords, succeeded, coalesce(least, keywords) AS required, inserted, reason IS NULL AS ok, reason FROM (
+  SELECT *, CASE WHEN keywords = 0 THEN 'no search terms are watched'
+    WHEN succeeded < coalesce(least, keywords) THEN
+      printf('only %d of %d keywords succeeded, %d required; failed: %s', succeeded, keywords, coalesce(least, keywords),
+        array_to_string(names[1:10], ', '))
+      || CASE WHEN len(names) > 10 THEN printf(' and %d more', len(names) - 10) ELSE '' END
+    WHEN inserted < least_inserted THEN printf('inserted %d postings, %d required', inserted, least_inserted) END AS reason
+  FROM counted_)""",
     "watch_list": f"WITH {_TERMS_CTE} SELECT keyword FROM terms",
     "watch_add": f"""WITH {_TERMS_CTE} SELECT keyword FROM terms UNION
 SELECT unnest(['data engineer', 'data analyst', 'machine learning engineer', 'backend engineer'])""",
@@ -306,8 +332,8 @@ SELECT unnest(['data engineer', 'data analyst', 'machine learning engineer', 'ba
         "SELECT format('{:,}', count(*)) AS total_jobs, strftime(max(fetched_at), '%Y-%m-%d %H:%M') AS last_updated, "
         "format('{:,}', count(DISTINCT company)) AS unique_companies, "
         f"printf('%.1f%%', {_percent('count(*) FILTER (is_remote)', 'count(*)', 1)}) AS remote_pct, "
-        "'$' || format('{:,}', CAST((2 * sum(CAST(salary_min * 100 AS HUGEINT)) + 100 * count(salary_min)) "
-        "// (200 * count(salary_min)) AS BIGINT)) AS avg_salary FROM jobs"
+        "'$' || format('{:,}', CAST(round_even(CAST(sum(CAST(salary_min * 100 AS HUGEINT)) AS DECIMAL(38, 10)) "
+        "/ (100 * count(salary_min)), 0) AS BIGINT)) AS avg_salary FROM jobs"
     ),
     "remote_split": _over_jobs(
         "SELECT is_remote, count(*) AS count, CASE is_remote WHEN true THEN 'Remote' WHEN false THEN 'On-site' END "

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -16,8 +17,10 @@ from rolecall.operators import (
     clean_postings,
     flatten_postings,
     list_terms,
+    open_runs,
     quarantine_counts,
     remove_terms,
+    run_manifest,
     schema_report,
     seed_terms,
 )
@@ -25,8 +28,9 @@ from rolecall.operators.chain import integer_levels
 from rolecall.operators.upsert import classify
 from rolecall.plans import market
 from rolecall.plans.ingest import ingest, upsert_into
+from rolecall.schemas import MAX_PAGES, RESULTS_PER_PAGE
 from rolecall.sources import PostingStore, read_pages, read_postings, shared_dir
-from rolecall.streaming import start_ingest
+from rolecall.streaming import ingest_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
 WATCHED_SINCE = datetime(2024, 1, 1)
@@ -85,7 +89,8 @@ def flatten_posting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = assemble_runs(inputs.landed_pages(spark, sf_dir))
+    """The paging rule of a search run."""
+    rows = assemble_runs(inputs.landed_pages(spark, sf_dir), RESULTS_PER_PAGE, MAX_PAGES)
     return rows.select("run_id", "keyword", "page", "position", F.col("posting.id").alias("id"))
 
 
@@ -124,15 +129,19 @@ def upsert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, staged = _upsert(spark, sf_dir)
-    return classify(staged, store.read(), SLICED).select("external_id", "arrival", "outcome")
+    return classify(staged, store.digests(), SLICED).select("external_id", "arrival", "outcome")
 
 
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger after one batch with both days' runs, put into an empty store."""
+    """Ledger after one batch with both days' runs, put into an empty store, while a batch
+    with the second day's searches is at work."""
     root = shared_dir(spark)
     inputs.landed_pages(spark, sf_dir).drop("day").write.json(f"{root}/pages")
     store = PostingStore(spark, f"{root}/store", buckets=8)
-    ingest(store, read_pages(spark, f"{root}/pages"), "both days")
+    pages = read_pages(spark, f"{root}/pages")
+    ingest(store, pages, "both days")
+    again = run_manifest(pages.filter("run_id LIKE 'run-2-%'")).withColumn("run_id", F.concat(F.lit("next-"), "run_id"))
+    store.begin("third day", open_runs(again))
     return store.ledger()
 
 
@@ -145,22 +154,31 @@ def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checks over the batch, which watched every keyword it searched."""
+    """Checks over the batch under different demands; the watch list is not the ledger's."""
     ledger = _ledger(spark, sf_dir)
-    return batch_gates(ledger, ledger.select("keyword").distinct())
+    watched = spark.sql(inputs.WATCHLIST, raw=inputs.raw_postings(spark, sf_dir))
+    cases = {
+        "all": (watched, {}),
+        "some": (watched, {"min_succeeded": 1}),
+        "many inserted": (watched, {"min_succeeded": 1, "min_inserted": 10**9}),
+        "ran": (watched.filter("ran"), {}),
+        "none": (watched.limit(0), {}),
+    }
+    rows = [batch_gates(ledger, terms, **limits).withColumn("demand", F.lit(name)) for name, (terms, limits) in cases.items()]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both days' page files through the stream into a store, one after the other."""
+    """Both days' pages, one in a file of its own, through the stream into a store."""
     root = shared_dir(spark)
     store = PostingStore(spark, f"{root}/store", buckets=8)
     pages = inputs.landed_pages(spark, sf_dir)
     pages.write.json(f"{root}/pages")  # unordered copy, derived once for both days
     landed = read_pages(spark, f"{root}/pages").withColumn("day", F.dayofmonth("landed_at") - 1)
     for day in (1, 2):
-        one = landed.filter(F.col("day") == day).drop("day").repartition("run_id")
-        one.write.mode("append").json(f"{root}/landing")
-        start_ingest(spark, f"{root}/landing", store, f"{root}/checkpoint").awaitTermination()
+        one = landed.filter(F.col("day") == day).drop("day", "bad_line")
+        one.write.mode("append").option("maxRecordsPerFile", 1).json(f"{root}/landing")
+        ingest_landed(spark, f"{root}/landing", store, f"{root}/checkpoint", files_per_batch=500)
     return comparable(store.read())
 
 

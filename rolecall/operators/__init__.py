@@ -4,14 +4,16 @@ from rolecall.operators.chain import previous_values, running_sum
 from rolecall.operators.cleaning import clean_postings, flatten_postings, quarantine_counts, split_failures
 from rolecall.operators.ledger import (
     batch_gates,
+    break_runs,
     close_runs,
     failed_keywords,
+    fold_runs,
     open_runs,
     run_manifest,
     run_status,
     schema_report,
 )
-from rolecall.operators.pages import assemble_runs, failed_runs
+from rolecall.operators.pages import assemble_runs, dropped_results, failed_runs, split_rejected
 from rolecall.operators.upsert import classify, latest_writes, merge, upsert
 from rolecall.operators.watchlist import add_terms, list_terms, remove_terms, seed_terms
 
@@ -19,12 +21,15 @@ __all__ = [
     "add_terms",
     "assemble_runs",
     "batch_gates",
+    "break_runs",
     "classify",
     "clean_postings",
     "close_runs",
+    "dropped_results",
     "failed_keywords",
     "failed_runs",
     "flatten_postings",
+    "fold_runs",
     "latest_writes",
     "list_terms",
     "merge",
@@ -38,5 +43,6 @@ __all__ = [
     "schema_report",
     "seed_terms",
     "split_failures",
+    "split_rejected",
     "upsert",
 ]

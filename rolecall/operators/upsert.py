@@ -12,16 +12,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rolecall.operators.chain import PREVIOUS, previous_values
 from rolecall.schemas import COMPARED
 
 INSERTED, UPDATED, SKIPPED, FAILED = "inserted", "updated", "skipped", "failed"
 
+DIGEST, ROW = "_digest", "_staged"
+
 Levels = Sequence[Sequence[str]]
 
 
+def content_digest(compared: Sequence[str] = COMPARED) -> Column:
+    """256 bits that tell contents apart: NULL from empty, and one column from the next."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*compared)), 256))
+
+
+def with_digest(rows: DataFrame, compared: Sequence[str] = COMPARED) -> DataFrame:
+    return rows if DIGEST in rows.columns else rows.withColumn(DIGEST, content_digest(compared))
+
+
 def classify(
     incoming: DataFrame,
     state: DataFrame,
@@ -29,57 +40,52 @@ def classify(
     key: str = "external_id",
     compared: Sequence[str] = COMPARED,
 ) -> DataFrame:
-    """Add `outcome` to every incoming row.
+    """Incoming rows without the compared columns, and with their `outcome`.
 
     `arrival` holds order columns from coarse to fine, for example
     `[["landed_at", "keyword"], ["page", "position"]]`. One key may hold any share of the
     rows: a task sorts one key's rows of one step only (see `previous_values`), and the
-    state is joined to distinct keys.
+    state is joined to distinct keys. Contents are compared by digest (`_digest`, computed
+    where a side does not have it), so that the compared columns are not moved.
     """
-    content = F.struct(*compared).alias("_content")
     keys = incoming.select(key).distinct()
-    known = state.join(keys, key, "left_semi").select(key, content)
-    # Packed, so that the compared columns are shuffled once and not beside their struct.
+    known = with_digest(state, compared).join(keys, key, "left_semi").select(key, DIGEST)
+    rows = with_digest(incoming, compared)
     # A struct is never NULL, and NULLs in it are equal and sort first.
     steps = {f"_step{i}": F.struct(*level) for i, level in enumerate(arrival)}
-    packed = incoming.select(
-        *[c for c in incoming.columns if c not in compared],
-        content,
-        *[step.alias(name) for name, step in steps.items()],
-    )
+    kept = [c for c in incoming.columns if c not in compared and c != DIGEST]
+    packed = rows.select(*kept, DIGEST, *[step.alias(name) for name, step in steps.items()])
     outcome = (
         F.when(F.col(PREVIOUS).isNull(), INSERTED)
-        .when(F.col(PREVIOUS).eqNullSafe(F.col("_content")), SKIPPED)
+        .when(F.col(PREVIOUS) == F.col(DIGEST), SKIPPED)
         .otherwise(UPDATED)
     )
-    return previous_values(packed, key, list(steps), "_content", known).select(
-        *[F.col("_content." + c) if c in compared else F.col(c) for c in incoming.columns],
-        outcome.alias("outcome"),
-    )
+    chained = previous_values(packed, key, list(steps), DIGEST, known)
+    return chained.select(*kept, outcome.alias("outcome"))
 
 
 def latest_writes(
     classified: DataFrame,
+    staged: DataFrame,
     columns: Sequence[str],
     arrival: Levels,
     key: str = "external_id",
     stamp: str = "fetched_at",
 ) -> DataFrame:
-    """One row per key that was written: last content, `stamp` of the last write."""
+    """One row per key that was written: last content, `stamp` of the last write.
+
+    `classified` are the outcomes of `staged`; `_staged` tells the rows of both apart. Contents
+    are fetched once, for the written keys.
+    """
     order = F.struct(*[c for level in arrival for c in level])
     written = F.col("outcome") != SKIPPED
-    content = [c for c in columns if c not in (key, stamp)]
-    rows = classified.groupBy(key).agg(
-        F.max_by(F.struct(*content), order).alias("_row"),
+    last = classified.groupBy(key).agg(
+        F.max_by(ROW, order).alias(ROW),
         # A struct keeps a NULL stamp apart from "never written".
         F.max_by(F.struct(stamp), F.when(written, order)).alias("_stamp"),
     )
-    return rows.filter(F.col("_stamp").isNotNull()).select(
-        *[
-            F.col(c) if c == key else F.col(("_stamp." if c == stamp else "_row.") + c).alias(c)
-            for c in columns
-        ]
-    )
+    last = last.filter(F.col("_stamp").isNotNull()).select(ROW, "_stamp")
+    return staged.drop(stamp).join(last, ROW).withColumn(stamp, F.col("_stamp." + stamp)).select(*columns)
 
 
 def merge(state: DataFrame, writes: DataFrame, key: str = "external_id") -> DataFrame:
@@ -99,9 +105,16 @@ def upsert(
 ) -> tuple[DataFrame, DataFrame]:
     """`(new_state, classified)`; `classified` is `incoming` with `outcome`.
 
-    Both inputs are read several times over, so costly ones should be written first, as
-    `PostingStore.stage` does.
+    The incoming rows are written to the shared folder first, as they are read several
+    times over.
     """
-    classified = classify(incoming, state, arrival, key, compared)
-    writes = latest_writes(classified, state.columns, arrival, key, stamp)
+    from rolecall.sources.files import shared_dir
+
+    spark, path = incoming.sparkSession, shared_dir(incoming.sparkSession)
+    numbered = with_digest(incoming, compared).withColumn(ROW, F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    staged = spark.read.schema(numbered.schema).parquet(path)
+    outcomes = classify(staged, state, arrival, key, compared)
+    writes = latest_writes(outcomes, staged, state.columns, arrival, key, stamp)
+    classified = staged.drop(DIGEST).join(outcomes.select(ROW, "outcome"), ROW).drop(ROW)
     return merge(state, writes, key), classified

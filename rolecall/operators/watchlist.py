@@ -7,13 +7,18 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rolecall.functions import normalize_keyword, utc_time
-from rolecall.schemas import SEED_TERMS, WATCHED
+from rolecall.schemas import MAX_KEYWORD, SEED_TERMS, WATCHED
 
 
 def _terms(keywords: DataFrame) -> DataFrame:
-    """Distinct normalised terms; an empty one fails the job."""
+    """Distinct normalised terms; an empty or over-long one fails the job."""
     term = normalize_keyword(F.col("keyword"))
-    checked = F.when(term == "", F.raise_error(F.lit("keyword must not be empty"))).otherwise(term)
+    too_long = f"keyword must not be longer than {MAX_KEYWORD} characters"
+    checked = (
+        F.when(term == "", F.raise_error(F.lit("keyword must not be empty")))
+        .when(F.length(term) > MAX_KEYWORD, F.raise_error(F.lit(too_long)))
+        .otherwise(term)
+    )
     return keywords.select(checked.alias("keyword")).distinct()
 
 

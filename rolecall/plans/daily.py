@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rolecall.operators.ledger import batch_gates
 from rolecall.plans.market import ingestion_summary
 from rolecall.sources import PostingStore, WatchedTerms
-from rolecall.streaming import start_ingest
+from rolecall.streaming import ingest_landed
 
 
 class BatchFailed(Exception):
@@ -33,7 +33,7 @@ def run_daily(
     if watched.isEmpty():
         raise BatchFailed("no search terms are watched")
     before = store.version()
-    start_ingest(spark, landing, store, checkpoint, **paging).awaitTermination()
+    ingest_landed(spark, landing, store, checkpoint, **paging)
     gate = batch_gates(store.ledger(since=before), watched, min_succeeded, min_inserted).first()
     if not gate.ok:
         raise BatchFailed(gate.reason)

@@ -41,9 +41,13 @@ PAGE = T.StructType(
     ]
 )
 
-# The same as text: landing times may come with a zone.
+# The same as text: landing times may come with a zone. A line that does not parse is kept
+# whole in `bad_line`.
 LANDED_PAGE = T.StructType(
-    [T.StructField(f.name, T.StringType()) if f.name == "landed_at" else f for f in PAGE]
+    [
+        *[T.StructField(f.name, T.StringType()) if f.name == "landed_at" else f for f in PAGE],
+        T.StructField("bad_line", T.StringType()),
+    ]
 )
 
 MONEY = T.DecimalType(10, 2)
@@ -81,6 +85,7 @@ RUNS = T.StructType(
         T.StructField("started_at", T.TimestampNTZType(), False),
         T.StructField("completed_at", T.TimestampNTZType()),
         T.StructField("errored", T.BooleanType(), False),
+        T.StructField("dropped_count", T.LongType(), False),
     ]
 )
 
@@ -100,6 +105,9 @@ MAX_LENGTH = {
     "country": 10,
 }
 
+# Fixed value: the longest search term, in characters.
+MAX_KEYWORD = 255
+
 # An upsert rewrites a stored posting when any of these differs.
 COMPARED = (
     "title", "company", "location", "country", "salary_min", "salary_max",
@@ -132,6 +140,6 @@ SEED_TERMS = (
     "data engineer", "data analyst", "machine learning engineer", "backend engineer",
 )
 
-# Paging defaults of a search run.
+# The paging rule of a search run.
 RESULTS_PER_PAGE = 50
 MAX_PAGES = 5

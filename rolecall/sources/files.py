@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rolecall.functions import parse_posted
 from rolecall.schemas import JOBS, LANDED_PAGE
 
+_KEEP_BAD = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad_line"}
+
 
 def typed_pages(landed: DataFrame) -> DataFrame:
     """Landed pages in the page schema."""
@@ -16,14 +18,14 @@ def typed_pages(landed: DataFrame) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed search pages, one JSON object per line."""
-    return typed_pages(spark.read.schema(LANDED_PAGE).json(path))
+    """Landed search pages, one JSON object per line; see `operators.split_rejected`."""
+    return typed_pages(spark.read.schema(LANDED_PAGE).options(**_KEEP_BAD).json(path))
 
 
 def stream_pages(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
     """The same as a stream of newly landed files."""
-    reader = spark.readStream.schema(LANDED_PAGE).option("maxFilesPerTrigger", files_per_batch)
-    return typed_pages(reader.json(path))
+    reader = spark.readStream.schema(LANDED_PAGE).options(**_KEEP_BAD)
+    return typed_pages(reader.option("maxFilesPerTrigger", files_per_batch).json(path))
 
 
 def read_postings(spark: SparkSession, path: str) -> DataFrame:

@@ -1,5 +1,5 @@
 """Incremental ingestion with Structured Streaming."""
 
-from rolecall.streaming.ingest import start_ingest
+from rolecall.streaming.ingest import ingest_landed
 
-__all__ = ["start_ingest"]
+__all__ = ["ingest_landed"]

@@ -42,18 +42,18 @@ def test_daily(spark, shared):
 
     def daily(**limits):
         return run_daily(
-            spark, landing, store, f"{shared}/checkpoint", terms.read(), results_per_page=1, **limits
+            spark, landing, store, f"{shared}/checkpoint", terms.read(), **limits
         ).first()
 
     with pytest.raises(BatchFailed, match="no search terms"):
         daily()
     assert store.version() == 0
     terms.add("kw 1", "kw 2", "kw 3", created_at=AT)
-    with pytest.raises(BatchFailed, match="only 2 of 3 keywords"):
+    with pytest.raises(BatchFailed, match="only 2 of 3 keywords succeeded, 3 required; failed: kw 2"):
         daily()
     # The runs that came through are kept.
     assert ledger(store)["1-1"] == (2, 2, 0, 0, 0, "success")
-    assert [r.keyword for r in failed_keywords(store.ledger()).collect()] == ["kw 2"]
+    assert [r.keyword for r in failed_keywords(store.ledger(), terms.read()).collect()] == ["kw 2"]
     land(landing, "b", run_pages(2, 1, [1, 2]) + run_pages(2, 2, [9]) + run_pages(2, 3, [2]))
     summary = daily(min_inserted=1)
     assert (summary.total, summary.last_fetched) == (3, at(2, 2, 1))

@@ -6,7 +6,14 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from rolecall.operators import assemble_runs, clean_postings, failed_runs, flatten_postings
+from rolecall.operators import (
+    assemble_runs,
+    clean_postings,
+    dropped_results,
+    failed_runs,
+    flatten_postings,
+    split_rejected,
+)
 from rolecall.schemas import PAGE
 from rolecall.sources import read_pages
 
@@ -94,13 +101,54 @@ def test_random_runs(spark):
 
 def test_one_shuffle(spark):
     pages = frame(spark, [page("a", 1, ["x"])])
-    plan = assemble_runs(pages)._jdf.queryExecution().executedPlan().toString()
+    plan = assemble_runs(pages, 50, 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_cap_must_be_positive(spark):
     with pytest.raises(ValueError):
-        assemble_runs(frame(spark, []), max_pages=0)
+        assemble_runs(frame(spark, []), results_per_page=50, max_pages=0)
+    with pytest.raises(ValueError):
+        assemble_runs(frame(spark, []), max_pages=3)
+
+
+def test_all_landed_pages_count(spark):
+    """Without the paging rule nothing is left out but repeated ids and broken runs."""
+    pages = [page("long", n, [f"{n}a", f"{n}b"], 3) for n in range(1, 8)]
+    pages += [page("gap", 1, ["x"]), page("gap", 2, []), page("gap", 9, ["x", "y", None, None])]
+    pages += [page("error", 1, ["a"]), page("error", 2, [], error="HTTP 503")]
+    pages += [page("twice", 1, ["a", "b"]), ("twice", "kw twice", 1, None, datetime(2024, 1, 2), None, [{"id": "b"}, {"id": "c"}])]
+    rows = frame(spark, pages).repartition(5)
+    got = by_run(assemble_runs(rows))
+    assert len(got["long"]) == 14
+    assert got["gap"] == [(1, 0, "x"), (9, 1, "y"), (9, 2, None), (9, 3, None)]
+    assert sorted(i for *_, i in got["twice"]) == ["a", "b", "c"]
+    assert {r.run_id for r in failed_runs(rows).collect()} == {"error"} and "error" not in got
+    assert {r.dropped_count for r in dropped_results(rows).collect()} == {0}
+    ruled = {r.run_id: r.dropped_count for r in dropped_results(rows, 2, 3).collect()}
+    assert ruled == {"long": 10, "gap": 4, "error": 0, "twice": 0}
+
+
+def test_no_window_over_a_run(spark):
+    plan = assemble_runs(frame(spark, [page("a", 1, ["x"])]))._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line.split("windowspecdefinition(")[1] for line in plan.splitlines() if "Window [" in line]
+    assert windows and all(w.split(" ASC")[0].count(",") >= 3 for w in windows)
+
+
+def test_rejected_lines(spark, shared):
+    good = '{"run_id":"r","keyword":"k","page":%s,"landed_at":"2024-01-01T06:00:00","results":[{"id":1}]}'
+    lines = [good % 1, good % '"1"', good % 2 + "}", (good % 3)[:60], good % 0, good % "null", "nonsense",
+             good.replace('"keyword":"k",', "") % 4, good.replace('"run_id":"r",', "") % 5,
+             good.replace("2024-01-01T06", "yesterday") % 6, good.replace('"k"', '"' + "k" * 256 + '"') % 7]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(shared)
+    kept, rejected = split_rejected(read_pages(spark, shared))
+    assert kept.columns == PAGE.names and [r.page for r in kept.collect()] in ([1], [1, 2])
+    found = rejected.collect()
+    assert len(found) == len(lines) - kept.count()
+    reasons = {r.line: r.reason for r in found}
+    assert reasons[good % '"1"'] == reasons["nonsense"] == reasons[(good % 3)[:60]] == "malformed"
+    assert sorted(set(reasons.values())) == [
+        "keyword too long", "malformed", "no keyword", "no landing time", "no page number", "no run_id"]
 
 
 def test_json_pages(spark, shared):

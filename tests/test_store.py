@@ -12,7 +12,7 @@ from rolecall.operators import list_terms
 from rolecall.plans.ingest import ingest
 from rolecall.schemas import JOBS, PAGE
 from rolecall.sources import PostingStore, read_pages, read_postings, shared_dir
-from rolecall.streaming import start_ingest
+from rolecall.streaming import ingest_landed
 
 START = datetime(2024, 1, 1)
 
@@ -63,7 +63,7 @@ def test_two_batches(spark, shared):
     land(pages, "a", run_pages(1, 1, [1, 2, 3, 4]) + run_pages(1, 2, [4, 5, ""]) + run_pages(1, 3, []))
     land(pages, "b", run_pages(1, 4, [7, 8, 9], error="HTTP 503"))
     first = read_pages(spark, pages)
-    assert ingest(store, first, "one", results_per_page=3) == 1
+    assert ingest(store, first, "one") == 1
     want = {"1": ("Dev 1", at(1, 1, 1)), "2": ("Dev 2", at(1, 1, 1)), "3": ("Dev 3", at(1, 1, 1)),
             "4": ("Dev 4", at(1, 1, 2)), "5": ("Dev 5", at(1, 2, 1))}
     assert content(store) == want
@@ -74,11 +74,11 @@ def test_two_batches(spark, shared):
         "1-4": (0, 0, 0, 0, 0, "failed"),
     }
     # A replay of the batch is recognised; the same pages as a new batch are all skipped.
-    assert ingest(store, first, "one", results_per_page=3) == 1
+    assert ingest(store, first, "one") == 1
     again = f"{shared}/again"
     land(again, "c", run_pages(2, 1, [1, 2, 3, 4]) + run_pages(2, 2, ["x"]))
     land(again, "d", run_pages(2, 3, [2, 6], title="new"))
-    assert ingest(store, read_pages(spark, again), "two", results_per_page=3) == 2
+    assert ingest(store, read_pages(spark, again), "two") == 2
     want |= {"x": ("Dev X", at(2, 2, 1)), "2": ("New 2", at(2, 3, 1)), "6": ("New 6", at(2, 3, 1))}
     assert content(store) == want
     assert ledger(store)["2-1"] == (4, 0, 0, 4, 0, "success")
@@ -145,10 +145,9 @@ def test_stream_equals_batches_and_survives_a_replay(spark, shared):
             land(landing, f"{day}-{run}", pages)
             land(f"{shared}/day{day}", f"{day}-{run}", pages)
             os.utime(f"{landing}/{day}-{run}.json", (day * 1000 + run,) * 2)
-        query = start_ingest(spark, landing, streamed, checkpoint, files_per_batch=2, results_per_page=3)
-        query.awaitTermination()
-        ingest(batched, read_pages(spark, f"{shared}/day{day}"), f"day {day}", results_per_page=3)
-    assert streamed.version() == 6
+        ingest_landed(spark, landing, streamed, checkpoint, files_per_batch=2)
+        ingest(batched, read_pages(spark, f"{shared}/day{day}"), f"day {day}")
+    assert streamed.version() == 3
     assert content(streamed) == content(batched)
     assert ledger(streamed) == ledger(batched) and len(ledger(streamed)) == 12
     ids = [r.external_id for r in streamed.read().collect()]
@@ -162,8 +161,122 @@ def test_stream_equals_batches_and_survives_a_replay(spark, shared):
     os.rename(f"{commits}/{last}", f"{commits}/.forgotten")
     if os.path.exists(f"{commits}/.{last}.crc"):
         os.rename(f"{commits}/.{last}.crc", f"{commits}/.forgotten.crc")
-    start_ingest(spark, landing, streamed, checkpoint, results_per_page=3).awaitTermination()
-    assert streamed.version() == 6 and content(streamed) == before
+    assert ingest_landed(spark, landing, streamed, checkpoint) == 3
+    assert content(streamed) == before
+
+
+def test_file_layout_does_not_matter(spark, shared):
+    """A run of three pages, a file for each, in steps of 1, 2 and 10 files."""
+    pages = run_pages(1, 1, [1, 2, 3, 2, 4, 1, 5], size=3) + run_pages(1, 2, [2, 9], title="ops")
+    for i, p in enumerate(pages):
+        land(f"{shared}/landing", f"f{i}", [p])
+    found = []
+    for step in (1, 2, 10):
+        store = PostingStore(spark, f"{shared}/store{step}", buckets=2)
+        ingest_landed(spark, f"{shared}/landing", store, f"{shared}/checkpoint{step}", files_per_batch=step)
+        found.append((content(store), ledger(store)))
+    assert found[0] == found[1] == found[2]
+    assert len(found[0][0]) == 6 and found[0][1] == {"1-1": (5, 5, 0, 0, 0, "success"), "1-2": (2, 1, 1, 0, 0, "success")}
+
+
+def test_nothing_landed_is_lost(spark, shared):
+    """Seven pages of a run, a truncated line, and a page number that is text."""
+    land(f"{shared}/pages", "a", run_pages(1, 1, list(range(14)), size=2) + run_pages(1, 2, [50]))
+    with open(f"{shared}/pages/b.json", "w") as file:
+        file.write(json.dumps(run_pages(1, 3, [60])[0])[:-25] + "\n")
+        file.write(json.dumps({**run_pages(1, 2, [51])[0], "page": "1"}) + "\n")
+    store = PostingStore(spark, f"{shared}/store", buckets=2)
+    ingest(store, read_pages(spark, f"{shared}/pages"), "one")
+    assert len(content(store)) == 14
+    rows = ledger(store)
+    assert rows["1-1"] == (14, 14, 0, 0, 0, "success") and rows["1-2"] == (0, 0, 0, 0, 0, "failed")
+    assert not any(None in tuple(r)[:8] for r in store.ledger().collect())
+    lines = spark.read.parquet(f"{shared}/store/rejected/version=1").collect()
+    assert len(lines) == 2 and {r.reason for r in lines} == {"malformed"}
+
+
+def test_runs_act_as_wholes(spark, shared):
+    """The run that was completed last wins, also where the pages of runs interleave."""
+    early = run_pages(1, 1, [7], title="from a") + [
+        {**run_pages(1, 1, [8])[0], "page": 2, "landed_at": at(1, 5, 0).isoformat() + "Z"}
+    ]
+    land(f"{shared}/pages", "a", early + run_pages(1, 3, [7], title="from b"))
+    store = PostingStore(spark, f"{shared}/store", buckets=2)
+    ingest(store, read_pages(spark, f"{shared}/pages"), "one")
+    assert content(store)["7"][0] == "From A 7"
+
+
+def test_ledger_shows_a_batch_at_work(spark, shared, monkeypatch):
+    land(f"{shared}/pages", "a", run_pages(1, 1, [1, 2]))
+    pages = read_pages(spark, f"{shared}/pages")
+    store = PostingStore(spark, f"{shared}/store", buckets=2)
+    seen = []
+
+    def killed(*_):
+        seen.append(ledger(store))
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "commit", killed)
+        with pytest.raises(RuntimeError):
+            ingest(store, pages, "one")
+    assert seen == [{"1-1": (0, 0, 0, 0, 0, "running")}]
+    assert ledger(store) == {"1-1": (0, 0, 0, 0, 0, "failed")}
+    # Another batch takes the version; the failed one stays failed until it is tried again.
+    land(f"{shared}/more", "b", run_pages(2, 1, [3]))
+    ingest(store, read_pages(spark, f"{shared}/more"), "two")
+    assert ledger(store)["1-1"][-1] == "failed" and ledger(store)["2-1"][-1] == "success"
+    ingest(store, pages, "one")
+    assert ledger(store)["1-1"] == (2, 2, 0, 0, 0, "success") and store.names("runs") == []
+    # The run lands once more, in another batch.
+    ingest(store, pages, "three")
+    assert ledger(store)["1-1"] == (4, 2, 0, 2, 0, "success")
+
+
+def rows_of(spark, *keys):
+    rows = spark.createDataFrame([(k, "t") for k in keys], "external_id string, title string")
+    return rows.select(
+        *[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in JOBS]
+    )
+
+
+def test_bucket_count_is_kept(spark, shared):
+    PostingStore(spark, shared, buckets=2).commit(rows_of(spark, "a"), "one", range(2))
+    with pytest.raises(ValueError, match="2 buckets, not 5"):
+        PostingStore(spark, shared, buckets=5).read()
+
+
+def test_history_costs_nothing(spark, shared, monkeypatch):
+    """Later versions read as few listings as the second."""
+    store = PostingStore(spark, shared, buckets=1, max_layers=2)
+    read = []
+    own = PostingStore._listing
+    monkeypatch.setattr(PostingStore, "_listing", lambda self, v: read.append(v) or own(self, v))
+    counts = []
+    for batch in range(8):
+        read.clear()
+        assert store.version(f"{batch}") == 0
+        store.commit(rows_of(spark, f"{batch}"), f"{batch}", [0])
+        assert store.version(f"{batch}") == batch + 1
+        counts.append(len(read))
+    assert len(set(counts[1:])) == 1 and max(counts) <= 3
+    assert store.version("2") == 3
+
+
+def test_large_buckets_are_split(spark, shared):
+    rows = rows_of(spark).union(
+        spark.range(60_000).select(*[
+            (F.col("id").cast("string") if f.name == "external_id" else F.sha2(F.col("id").cast("string"), 512)
+             if f.name == "description" else F.lit(None)).cast(f.dataType).alias(f.name) for f in JOBS])
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        store = PostingStore(spark, shared, buckets=1)
+        store.commit(rows, "one", [0])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = [n for n in os.listdir(f"{shared}/data/version=1/bucket=0") if n.endswith(".parquet")]
+    assert len(files) > 2 and store.read().count() == 60_000
 
 
 def test_shared_dir_follows_the_cluster(spark):
