@@ -18,7 +18,7 @@ from rolecall.llm.common import let, written
 SPACE = r"\x20\x09-\x0D"
 GROUP = ["lang", "source"]
 # Spread below which a feature's deviation is no news, in units of the feature.
-FLOORS = {"length": 0.5, "word": 0.1, "symbols": 0.03, "lines": 0.1, "repeats": 0.1, "upper": 0.05, "marks": 0.04}
+FLOORS = {"length": 0.5, "word": 0.1, "symbols": 0.03, "lines": 0.2, "repeats": 0.2, "upper": 0.05, "marks": 0.04}
 
 
 def _repeat_words(words: Column) -> Column:
@@ -101,32 +101,23 @@ def _precision(moments: DataFrame, names: list[str]) -> DataFrame:
     k = len(names)
     rows = moments
 
-    def rest(i: int, j: int) -> Column:
-        value = F.col(f"c_{j}_{i}")
-        for m in range(j):
-            value = value - F.col(f"l_{i}_{m}") * F.col(f"l_{j}_{m}")
-        return value
+    def rest(i: int, j: int) -> str:
+        return f"c_{j}_{i}" + "".join(f" - l_{i}_{m} * l_{j}_{m}" for m in range(j))
 
     for j in range(k):
-        rows = rows.withColumn(f"l_{j}_{j}", F.sqrt(F.greatest(rest(j, j), F.lit(1e-12))))
-        rows = rows.withColumns({f"l_{i}_{j}": rest(i, j) / F.col(f"l_{j}_{j}") for i in range(j + 1, k)})
+        rows = rows.selectExpr("*", f"sqrt(greatest({rest(j, j)}, 1e-12D)) AS l_{j}_{j}")
+        rows = rows.selectExpr("*", *[f"({rest(i, j)}) / l_{j}_{j} AS l_{i}_{j}" for i in range(j + 1, k)])
     for below in range(k):  # the factor's inverse, by diagonals
-        diagonal = {}
+        diagonal = []
         for j in range(k - below):
             i = j + below
-            total = F.lit(0.0 if below else 1.0)
-            for m in range(j, i):
-                total = total - F.col(f"l_{i}_{m}") * F.col(f"v_{m}_{j}")
-            diagonal[f"v_{i}_{j}"] = total / F.col(f"l_{i}_{i}")
-        rows = rows.withColumns(diagonal)
-    out = [*GROUP, "n", *[f"m_{i}" for i in range(k)]]
-    for i in range(k):
-        for j in range(i, k):
-            total = F.lit(0.0)
-            for m in range(j, k):
-                total = total + F.col(f"v_{m}_{i}") * F.col(f"v_{m}_{j}")
-            out.append(total.alias(f"p_{i}_{j}"))
-    return rows.select(*out)
+            total = ("0D" if below else "1D") + "".join(f" - l_{i}_{m} * v_{m}_{j}" for m in range(j, i))
+            diagonal.append(f"({total}) / l_{i}_{i} AS v_{i}_{j}")
+        rows = rows.selectExpr("*", *diagonal)
+    inverse = [
+        " + ".join(f"v_{m}_{i} * v_{m}_{j}" for m in range(j, k)) + f" AS p_{i}_{j}" for i in range(k) for j in range(i, k)
+    ]
+    return rows.selectExpr(*GROUP, "n", *[f"m_{i}" for i in range(k)], *inverse)
 
 
 def _with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -137,12 +128,11 @@ def _with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _distance(names: list[str]) -> Column:
-    total = F.lit(0.0)
+    terms = []
     for i, a in enumerate(names):
         for j in range(i, len(names)):
-            term = F.col(f"p_{i}_{j}") * (F.col(a) - F.col(f"m_{i}")) * (F.col(names[j]) - F.col(f"m_{j}"))
-            total = total + (term if i == j else 2 * term)
-    return total
+            terms.append(f"{1 if i == j else 2} * p_{i}_{j} * ({a} - m_{i}) * ({names[j]} - m_{j})")
+    return F.expr(" + ".join(terms))
 
 
 def mcd_estimates(
@@ -155,48 +145,39 @@ def mcd_estimates(
     a normal distribution.
     """
     k = len(names)
-    median = vectors.groupBy(*GROUP).agg(
-        F.count("*").alias("n"), *[F.percentile_approx(a, 0.5, accuracy).alias(f"m_{i}") for i, a in enumerate(names)]
-    )
-    spread = _with_groups(vectors, median).groupBy(*GROUP).agg(
-        F.first("n").alias("n"),
-        *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(k)],
-        *[F.percentile_approx(F.abs(F.col(a) - F.col(f"m_{i}")), 0.5, accuracy).alias(f"s_{i}") for i, a in enumerate(names)],
-    )
-    moments = spread.select(
-        *GROUP, "n", *[f"m_{i}" for i in range(k)],
-        *[
-            (F.pow(1.4826 * F.col(f"s_{i}"), F.lit(2)) + floors[i] ** 2 if i == j else F.lit(0.0)).alias(f"c_{i}_{j}")
-            for i in range(k)
-            for j in range(i, k)
-        ],
-    )
-    estimate = written(_precision(moments, names))
-    middle = chi_square(0.5, k)
+    both = [(i, j) for i in range(k) for j in range(i, k)]
+    centre = [f"m_{i}" for i in range(k)]
+
+    def per_group(rows: DataFrame, *columns: str) -> DataFrame:
+        return rows.groupBy(*GROUP).agg(*[F.expr(c) for c in columns])
+
+    def middle(expression: str, name: str, of: float = 0.5) -> str:
+        return f"percentile_approx({expression}, {of}, {accuracy}) AS {name}"
+
+    def widened(i: int, j: int, variance: str) -> str:
+        return f"{variance} + {floors[i] ** 2}D AS c_{i}_{j}" if i == j else f"{variance} AS c_{i}_{j}"
+
+    median = per_group(vectors, "count(*) AS n", *[middle(a, f"m_{i}") for i, a in enumerate(names)])
+    spread = per_group(
+        _with_groups(vectors, median), "first(n) AS n", *[f"first({m}) AS {m}" for m in centre],
+        *[middle(f"abs({a} - m_{i})", f"s_{i}") for i, a in enumerate(names)],
+    )
+    variances = [widened(i, j, f"pow(1.4826D * s_{i}, 2)" if i == j else "0D") for i, j in both]
+    estimate = written(_precision(spread.selectExpr(*GROUP, "n", *centre, *variances), names))
     for _ in range(steps):
         near = _with_groups(vectors, estimate).select(*GROUP, "n", *names, _distance(names).alias("d2"))
-        limits = near.groupBy(*GROUP).agg(F.percentile_approx("d2", share, accuracy).alias("limit"))
-        close = _with_groups(near, limits).filter("d2 <= limit")
-        sums = close.groupBy(*GROUP).agg(
-            F.first("n").alias("n"),
-            *[F.avg(a).alias(f"m_{i}") for i, a in enumerate(names)],
-            *[
-                F.covar_pop(names[i], names[j]).alias(f"c_{i}_{j}")
-                for i in range(k)
-                for j in range(i, k)
-            ],
-        )
-        sums = sums.withColumns({f"c_{i}_{i}": F.col(f"c_{i}_{i}") + floors[i] ** 2 for i in range(k)})
-        estimate = written(_precision(sums, names))
+        close = _with_groups(near, per_group(near, middle("d2", "limit", share))).filter("d2 <= limit")
+        sums = per_group(
+            close, "first(n) AS n", *[f"avg({a}) AS m_{i}" for i, a in enumerate(names)],
+            *[f"covar_pop({names[i]}, {names[j]}) AS c_{i}_{j}" for i, j in both],
+        )
+        variances = [widened(i, j, f"c_{i}_{j}") for i, j in both]
+        estimate = written(_precision(sums.selectExpr(*GROUP, "n", *centre, *variances), names))
     near = _with_groups(vectors, estimate).select(*GROUP, _distance(names).alias("d2"))
-    scale = near.groupBy(*GROUP).agg(
-        F.greatest(F.percentile_approx("d2", 0.5, accuracy) / middle, F.lit(1.0)).alias("scale")
-    )
-    scaled = _with_groups(estimate, scale)
-    return scaled.select(
-        *GROUP, "n", *[f"m_{i}" for i in range(k)],
-        *[(F.col(f"p_{i}_{j}") / F.col("scale")).alias(f"p_{i}_{j}") for i in range(k) for j in range(i, k)],
-    )
+    usual = chi_square(0.5, k)
+    scaled = _with_groups(estimate, per_group(near, middle("d2", "usual")))
+    scale = f"greatest(usual / {usual}D, 1D)"
+    return scaled.selectExpr(*GROUP, "n", *centre, *[f"p_{i}_{j} / {scale} AS p_{i}_{j}" for i, j in both])
 
 
 def quality_rules(docs: DataFrame, level: float = 1 - 1e-7, least_rows: int = 20) -> DataFrame:
