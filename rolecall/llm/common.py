@@ -51,6 +51,24 @@ def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         yield pa.Table.from_batches(rest)
 
 
+def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The same rows in fewer, larger tables; each holds all rows of its keys."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if rest and not _same(rest[-1], batch, keys):
+            yield pa.Table.from_batches(rest)
+            rest = []
+        end = (_ends(batch, keys) or [0])[-1]
+        if end:
+            yield pa.Table.from_batches([*rest, batch.slice(0, end)])
+            rest = []
+        rest.append(batch.slice(end))
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
 def _ends(batch: pa.RecordBatch, keys: list[str]) -> list[int]:
     """Ends of all runs but the last."""
     import numpy as np
