@@ -1,9 +1,9 @@
 """Benchmark decontamination by edit distance.
 
 For every item of n words, each window of n words of every document (or the whole document,
-if it is a little shorter) is compared by word edit distance. Windows with too many words
-that no item holds cannot match and are left out at once. The others are embedded by CGK
-random walks, which map edit distance to Hamming distance: at step j the walk writes the word
+if it is a little shorter) is compared by word edit distance. An edit breaks at most two pairs
+of neighbouring words, so windows with too few of the pairs that items of n words hold cannot
+match and are left out at once. The others are embedded by CGK random walks, which map edit distance to Hamming distance: at step j the walk writes the word
 it stands on and moves on if a random bit of (j, word) says so. Each repetition has a walk of
 its own and samples a few of its steps; equal samples make a candidate, and candidates are
 verified by their exact edit distance. Equal windows are embedded and verified once, however
@@ -96,6 +96,75 @@ def _sized(words: list[int]) -> np.ndarray:
     return np.array(words, np.uint64)
 
 
+class Pairs:
+    """Neighbouring words of items, and the item sizes at which each pair occurs."""
+
+    def __init__(self, first: list[bytes], second: list[bytes], sizes: list[int], share: float):
+        self.share = share
+        self.singles = {w for w, n in zip(first, sizes) if n == 1}
+        words = sorted({*first, *second} - {b""})
+        self.place = {w: i for i, w in enumerate(words)}
+        self.ids = np.array([word_id(w) for w in words] + [OTHER], np.uint64)
+        both = [(self.place[a] * len(words) + self.place[b], n) for a, b, n in zip(first, second, sizes) if n > 1]
+        both = np.array(sorted(both), np.int64).reshape(-1, 2)
+        self.codes, self.starts = np.unique(both[:, 0], return_index=True)
+        self.starts = np.append(self.starts, len(both))
+        self.sizes = both[:, 1]
+
+    def need(self, size):
+        """Pairs of an item that a matching window holds at least."""
+        return size - 1 - 2 * (self.share * size).astype(np.int64)
+
+    def windows(self, words: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
+        """(start, item size, word ids) of the windows that may match."""
+        n = len(words)
+        place = np.fromiter((self.place.get(w, -1) for w in words), np.int64, n)
+        if self.singles:
+            for i, w in enumerate(words):
+                if w in self.singles:
+                    yield i, 1, self.ids[place[i : i + 1]].tobytes()
+        if n < 2 or not len(self.codes):
+            return
+        at = np.flatnonzero((place[:-1] >= 0) & (place[1:] >= 0))
+        code = place[at] * len(self.place) + place[at + 1]
+        found = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        own = self.codes[found] == code
+        at, found = at[own], found[own]
+        count = self.starts[found + 1] - self.starts[found]
+        ends = np.cumsum(count)
+        if not len(ends):
+            return
+        sizes = self.sizes[np.repeat(self.starts[found] - ends + count, count) + np.arange(ends[-1])]
+        at = np.repeat(at, count)
+        order = np.argsort(sizes, kind="stable")
+        sizes, at = sizes[order], at[order]
+        last = np.arange(len(sizes)) + np.maximum(self.need(sizes), 1) - 1
+        inside = last < len(sizes)
+        last = np.minimum(last, len(sizes) - 1)
+        enough = inside & (sizes[last] == sizes) & (at[last] - at <= sizes - 2)
+        for size in np.unique(sizes[enough]).tolist():
+            limit, need = int(self.share * size), max(int(self.need(np.int64(size))), 1)
+            hits = np.zeros(n, np.int64)
+            hits[at[sizes == size] + 1] = 1
+            hits = np.cumsum(hits)  # pairs up to each word
+            ids = self.ids[place]
+            if n >= size:
+                for start in np.flatnonzero(hits[size - 1 :] - hits[: n - size + 1] >= need).tolist():
+                    yield start, size, ids[start : start + size].tobytes()
+            elif n >= size - limit:
+                yield 0, size, ids.tobytes()
+
+
+def all_windows(words: list[bytes], sizes: list[int], share: float) -> Iterator[tuple[int, int, bytes]]:
+    ids = np.fromiter(map(word_id, words), np.uint64, len(words))
+    for size in sizes:
+        if len(ids) >= size:
+            for start in range(len(ids) - size + 1):
+                yield start, size, ids[start : start + size].tobytes()
+        elif len(ids) and len(ids) >= size - int(share * size):
+            yield 0, size, ids.tobytes()
+
+
 def find_items(
     docs: DataFrame,
     items: DataFrame,
@@ -103,7 +172,7 @@ def find_items(
     recall: float = 0.99,
     samples: int = 3,
     agreement: float = 0.5,
-    max_vocabulary: int = 500_000,
+    max_pairs: int = 1_000_000,
 ) -> DataFrame:
     """doc_id, item_id, start, n_words, edits, windows for every item a document holds.
 
@@ -115,8 +184,8 @@ def find_items(
 
     Case and ASCII punctuation do not count. NULL texts are empty; items without words are
     held by nobody; NULL ids stay; repeated rows of documents add to `windows`, repeated items
-    do not. No rows on either side give none. Other columns are not read. Item words are broadcast up
-    to `max_vocabulary`; beyond it, no window is left out beforehand.
+    do not. No rows on either side give none. Other columns are not read. Pairs of item
+    words are broadcast up to `max_pairs`; beyond it, no window is left out beforehand.
     """
     spark = docs.sparkSession
     repeats = repeats_for(recall, samples, agreement)
@@ -134,41 +203,24 @@ def find_items(
     prepared = written(own.mapInArrow(item_words, "item_id long, item binary, size int, words array<binary>"))
     prepared = prepared.filter("size > 0")
     sizes = sorted(r.size for r in prepared.select("size").distinct().toLocalIterator())
-    vocabulary = prepared.select(F.explode("words").alias("word")).distinct()
+    pairs = prepared.select(
+        F.explode(F.expr("transform(words, (w, i) -> struct(w AS a, coalesce(get(words, i + 1), cast('' AS binary)) AS b))")).alias("pair"),
+        "size",
+    )
+    pairs = pairs.select("pair.a", "pair.b", "size").filter("size = 1 OR octet_length(b) > 0").distinct()
     known = None
-    if vocabulary.count() <= max_vocabulary:
-        known = {bytes(r.word): word_id(bytes(r.word)) for r in vocabulary.collect()}
+    if pairs.count() <= max_pairs:
+        known = Pairs(*zip(*[(bytes(r.a), bytes(r.b), r["size"]) for r in pairs.collect()] or [(b"", b"", 0)]), share)
     shared = spark.sparkContext.broadcast((known, sizes))
 
-    def windows_of(ids: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-        """(start, item size, word ids) of the windows that may match."""
-        n = len(ids)
-        other = np.concatenate([[0], np.cumsum(ids == OTHER)])
-        least = min(sizes_[0], n)
-        if n >= sizes_[0] and (other[least:] - other[:-least]).min() > share * least:
-            return  # some stretch of `least` words is as good as a window's average
-        for size in sizes_:
-            limit = int(share * size)
-            if n >= size:
-                for start in np.flatnonzero(other[size:] - other[:-size] <= limit).tolist():
-                    yield start, size, ids[start : start + size].tobytes()
-            elif n and other[n] + size - n <= limit:
-                yield 0, size, ids.tobytes()
-
-    sizes_: list[int] = []
-
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, sizes_[:] = shared.value
+        known, sizes = shared.value
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text")):
-                own = words_of(text)
-                if words is None:
-                    ids = np.fromiter(map(word_id, own), np.uint64, len(own))
-                else:
-                    ids = np.fromiter((words.get(w, OTHER) for w in own), np.uint64, len(own))
-                if sizes_:
-                    rows += [(doc_id, *w) for w in windows_of(ids)]
+                words = words_of(text)
+                windows = known.windows(words) if known else all_windows(words, sizes, share)
+                rows += [(doc_id, *w) for w in windows]
                 if len(rows) > 10_000:
                     yield table_of(rows)
                     rows = []
@@ -216,9 +268,9 @@ def find_items(
     texts_ = prepared.withColumn("text_id", F.xxhash64("item")).groupBy("text_id", "size").agg(F.min("item").alias("item"))
     left = keyed(windows.select(F.col("window_id").alias("id"), F.col("window").alias("words"), "size"), "window_id")
     right = keyed(texts_.select(F.col("text_id").alias("id"), F.col("item").alias("words"), "size"), "text_id")
-    pairs = left.join(right, "key").select("window_id", "text_id").distinct()
+    near = left.join(right, "key").select("window_id", "text_id").distinct()
     # The size says for which items a window was cut.
-    pairs = pairs.join(windows, "window_id").join(texts_.withColumnRenamed("size", "_size"), "text_id").filter("size = _size")
+    near = near.join(windows, "window_id").join(texts_.withColumnRenamed("size", "_size"), "text_id").filter("size = _size")
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,7 +284,7 @@ def find_items(
                 [batch.column("window_id"), batch.column("text_id"), pa.array(edits, pa.int32())], ["window_id", "text_id", "edits"]
             )
 
-    close = pairs.select("window_id", "text_id", "window", "item").mapInArrow(verify, "window_id long, text_id long, edits int")
+    close = near.select("window_id", "text_id", "window", "item").mapInArrow(verify, "window_id long, text_id long, edits int")
     close = close.filter("edits IS NOT NULL")
     named = prepared.select(F.xxhash64("item").alias("text_id"), "item_id").distinct()
     hits = places.select("doc_id", "start", "window_id", "size", F.octet_length("window").alias("_bytes")).join(close, "window_id").join(named, "text_id")
