@@ -6,7 +6,9 @@ of neighbouring words, so windows with too few of the pairs that items of n word
 match and are left out at once. The others are embedded by CGK random walks, which map edit distance to Hamming distance: at step j the walk writes the word
 it stands on and moves on if a random bit of (j, word) says so. Each repetition has a walk of
 its own and samples a few of its steps; equal samples make a candidate, and candidates are
-verified by their exact edit distance. Equal windows are embedded and verified once, however
+verified by their exact edit distance. Repetitions follow from the item size, by a seeded
+simulation. Shorter documents drift too far for walks; they become candidates by any block of
+words that the edits must leave whole. Equal windows are embedded and verified once, however
 many documents hold them.
 """
 
@@ -42,6 +44,73 @@ def repeats_for(recall: float, samples: int, agreement: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - agreement**samples))
 
 
+def edited_windows(item: np.ndarray, edits: int, kind: str, rng: np.random.Generator) -> np.ndarray:
+    """`item` after exactly `edits` random edits of a kind, as a window of its length."""
+    new = lambda n: rng.integers(1, 2**63, n, dtype=np.uint64)
+    shifts = {"replaced": 0, "mixed": edits // 4}.get(kind, edits // 2)
+    out = item.copy()
+    own = rng.choice(len(item), edits - shifts, replace=False)  # a shift is a deletion and an insertion
+    replaced, deleted = own[: edits - 2 * shifts], own[edits - 2 * shifts :]
+    out[replaced] = new(len(replaced))
+    out = np.delete(out, deleted)
+    if kind == "tail":  # the text after it moves up
+        return np.concatenate([out, new(shifts)])
+    return np.insert(out, rng.integers(0, len(out) + 1, shifts), new(shifts))
+
+
+KINDS = ("replaced", "shifted", "mixed", "tail")
+
+
+def repeats_at(size: int, edits: int, recall: float, samples: int, trials: int = 150, walks: int = 32) -> int:
+    """Repetitions that reach `recall` for windows at `edits` edits of an item of `size` words.
+
+    The share of equal walk steps falls with the size at the same share of edits, so it is
+    simulated, seeded, for each size: random items, edits at random places, the worst of the kinds.
+    """
+    if not edits:
+        return 1
+    rng = np.random.default_rng([size, edits, samples])
+    steps, most = 2 * size, 1
+    for kind in KINDS:
+        a = np.zeros((trials, size + 1), np.uint64)
+        a[:, :size] = rng.integers(1, 2**63, (trials, size), dtype=np.uint64)
+        b = np.zeros_like(a)
+        for i in range(trials):
+            b[i, :size] = edited_windows(a[i, :size], edits, kind, rng)
+        rows = np.arange(trials)[:, None]
+        x, y, equal = (np.zeros((trials, walks), np.int64) for _ in range(3))
+        for _ in range(steps):
+            odd = rng.integers(0, 2**63, walks, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+            p, q = a[rows, x], b[rows, y]
+            equal += p == q
+            x = np.minimum(x + ((p + _TURN) * odd >> np.uint64(63)).astype(np.int64), size)
+            y = np.minimum(y + ((q + _TURN) * odd >> np.uint64(63)).astype(np.int64), size)
+        chance = np.maximum(((equal / steps) ** samples).mean(axis=1), float(steps) ** -samples)
+        while (1 - (1 - chance) ** most).mean() < recall:
+            most = max(most + 1, most * 21 // 20)
+    return most
+
+
+def plan(size: int, share: float, recall: float, samples: int, repeats: int = 100) -> tuple[int, int]:
+    """Repetitions and samples for `size` words: fewer samples where `repeats` would not do."""
+    for s in range(samples, 0, -1):
+        needed = repeats_at(size, int(share * size), recall, s)
+        if needed <= repeats:
+            break
+    return needed, s
+
+
+def block_keys(words: bytes, size: int, share: float, item: bool) -> set[int]:
+    """Hashes of stretches of words. Of the disjoint ones of an item, an edit breaks one at
+    most, so a window within `share` * size edits holds one of them."""
+    from xxhash import xxh64_intdigest
+
+    edits = int(share * size)
+    length = max(1, size // (edits + 1))
+    starts = range(0, (edits + 1) * length, length) if item else range(len(words) // 8 - length + 1)
+    return {xxh64_intdigest(words[8 * i : 8 * (i + length)], size) for i in starts}
+
+
 class Walks:
     """The walks and sampled steps for windows of `size` words. Equal for items and documents."""
 
@@ -171,7 +240,6 @@ def find_items(
     share: float = 0.2,
     recall: float = 0.99,
     samples: int = 3,
-    agreement: float = 0.5,
     max_pairs: int = 1_000_000,
 ) -> DataFrame:
     """doc_id, item_id, start, n_words, edits, windows for every item a document holds.
@@ -179,8 +247,8 @@ def find_items(
     A document (`doc_id`, `text`) holds an item (`item_id`, `text`) of n words if a window of
     n of its words is within `share` * n word edits, rounded down. start, n_words and edits
     are those of the best window, the first of the best; `windows` counts the positions of
-    all that match. `recall` is the least chance that a window at the limit becomes a
-    candidate, if at least the share `agreement` of a walk's steps agrees there.
+    all that match. `recall` is the chance that a window at the limit becomes a candidate,
+    with edits at random places; repetitions, and `samples` or fewer, follow for each item size.
 
     Case and ASCII punctuation do not count. NULL texts are empty; items without words are
     held by nobody; NULL ids stay; repeated rows of documents add to `windows`, repeated items
@@ -188,7 +256,6 @@ def find_items(
     words are broadcast up to `max_pairs`; beyond it, no window is left out beforehand.
     """
     spark = docs.sparkSession
-    repeats = repeats_for(recall, samples, agreement)
 
     def item_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,6 +270,7 @@ def find_items(
     prepared = written(own.mapInArrow(item_words, "item_id long, item binary, size int, words array<binary>"))
     prepared = prepared.filter("size > 0")
     sizes = sorted(r.size for r in prepared.select("size").distinct().toLocalIterator())
+    plans = {n: plan(n, share, recall, samples) for n in sizes}
     pairs = prepared.select(
         F.explode(F.expr("transform(words, (w, i) -> struct(w AS a, coalesce(get(words, i + 1), cast('' AS binary)) AS b))")).alias("pair"),
         "size",
@@ -236,8 +304,15 @@ def find_items(
         texts.mapInArrow(search, "doc_id long, start int, size int, window binary").withColumn("window_id", F.xxhash64("window", "size"))
     )
 
+    def blocks(batches: Iterable[pa.RecordBatch], item: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("id").to_pylist(), batch.column("words").to_pylist(), batch.column("size").to_pylist())
+            out = [(i, key) for i, words, size in rows for key in block_keys(words, size, share, item)]
+            ids, keys = zip(*out) if out else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.array(keys, np.uint64).view(np.int64))], ["id", "key"])
+
     def embed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(id, key) rows of the columns id, words, size, which is at least the number of words."""
+        """(id, key) rows of the columns id, words, size, which is the number of words."""
         walks: dict[int, Walks] = {}
         for batch in batches:
             size = batch.column("size").to_numpy()
@@ -245,30 +320,32 @@ def find_items(
             words = batch.column("words").to_pylist()
             for n in np.unique(size).tolist():
                 rows = np.flatnonzero(size == n)
+                repeats, samples = plans[n]
                 if n not in walks:
                     if len(walks) > 200:
                         walks.clear()
                     walks[n] = Walks(n, repeats, samples)
                 for i in range(0, len(rows), 2_000):
                     some = rows[i : i + 2_000]
-                    lengths = np.array([len(words[r]) // 8 for r in some])
-                    windows = np.zeros((len(some), n), np.uint64)
-                    for k, r in enumerate(some):
-                        windows[k, : lengths[k]] = np.frombuffer(words[r], np.uint64)
-                    keys = walks[n].keys(windows, lengths)
+                    windows = np.stack([np.frombuffer(words[r], np.uint64) for r in some])
+                    keys = walks[n].keys(windows, np.full(len(some), n))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.repeat(names[some], repeats)), pa.array(keys.reshape(-1).view(np.int64))], ["id", "key"]
                     )
 
-    def keyed(rows: DataFrame, name: str) -> DataFrame:
-        return rows.mapInArrow(embed, "id long, key long").select(F.col("id").alias(name), "key").distinct()
+    def keyed(rows: DataFrame, name: str, item: bool) -> DataFrame:
+        """Walks of full windows and items; blocks of shorter windows and items."""
+        short = "size > 0" if item else "octet_length(words) < 8 * size"
+        walked = rows.filter("octet_length(words) = 8 * size").mapInArrow(embed, "id long, key long").withColumn("walk", F.lit(True))
+        cut = rows.filter(short).mapInArrow(lambda b: blocks(b, item), "id long, key long").withColumn("walk", F.lit(False))
+        return walked.unionByName(cut).select(F.col("id").alias(name), "key", "walk").distinct()
 
     # Equal words of one size are one window, equal items one item text.
     windows = places.groupBy("window_id", "size").agg(F.min("window").alias("window"))
     texts_ = prepared.withColumn("text_id", F.xxhash64("item")).groupBy("text_id", "size").agg(F.min("item").alias("item"))
-    left = keyed(windows.select(F.col("window_id").alias("id"), F.col("window").alias("words"), "size"), "window_id")
-    right = keyed(texts_.select(F.col("text_id").alias("id"), F.col("item").alias("words"), "size"), "text_id")
-    near = left.join(right, "key").select("window_id", "text_id").distinct()
+    left = keyed(windows.select(F.col("window_id").alias("id"), F.col("window").alias("words"), "size"), "window_id", False)
+    right = keyed(texts_.select(F.col("text_id").alias("id"), F.col("item").alias("words"), "size"), "text_id", True)
+    near = left.join(right, ["key", "walk"]).select("window_id", "text_id").distinct()
     # The size says for which items a window was cut.
     near = near.join(windows, "window_id").join(texts_.withColumnRenamed("size", "_size"), "text_id").filter("size = _size")
 

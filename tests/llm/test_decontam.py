@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from rolecall.llm.decontam import Walks, clean, edit_distance, find_items, repeats_for, words_of
+from rolecall.llm.decontam import Walks, clean, edit_distance, find_items, plan, repeats_for, words_of
 
 
 def brute(docs, items, share=0.2):
@@ -111,6 +111,42 @@ def test_recall_at_the_limit():
     assert hits >= 0.97 * n
 
 
+def at_the_limit(rng, words, edits, new):
+    """A window of as many words at exactly `edits` edits or one less."""
+    words = list(words)
+    for _ in range(edits // 3):
+        words[rng.randrange(len(words))] = new()
+    for _ in range((edits - edits // 3) // 2):
+        del words[rng.randrange(len(words))]
+        words.insert(rng.randint(0, len(words)), new())
+    return words
+
+
+@pytest.mark.parametrize("size", [15, 40, 59, 100, 200, 300])
+def test_recall_at_the_limit_of_every_size(size):
+    rng, edits, n = random.Random(size), size // 5, 200
+    word = lambda: rng.getrandbits(63) | 1
+    items = [[word() for _ in range(size)] for _ in range(n)]
+    others = [at_the_limit(rng, item, edits, word) for item in items]
+    walks, lengths = Walks(size, *plan(size, 0.2, 0.99, 3)), np.full(n, size)
+    same = walks.keys(np.array(items, np.uint64), lengths) == walks.keys(np.array(others, np.uint64), lengths)
+    assert same.any(axis=1).mean() >= 0.97
+
+
+def test_long_items(spark, documents):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    items = [(i, [word() for _ in range(250)]) for i in range(60)]
+    docs = [(i, " ".join([word()] * 5 + at_the_limit(rng, item, 50, word) + [word()] * 5)) for i, item in items]
+    left = lambda: sorted(rng.sample(range(250), 200))
+    short = [(100 + i, " ".join(item[k] for k in left())) for i, item in items]
+    table = spark.createDataFrame([(i, " ".join(item)) for i, item in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in find_items(documents(docs + short), table).collect()}
+    assert got <= {(i, i % 100) for i, _ in docs + short}
+    assert len([i for i, _ in got if i < 100]) >= 58
+    assert {i for i, _ in got if i >= 100} == {i for i, _ in short}
+
+
 def test_edit_distance():
     rng = random.Random(2)
     for _ in range(300):
