@@ -17,8 +17,9 @@ from rolecall.llm.common import let, written
 
 SPACE = r"\x20\x09-\x0D"
 GROUP = ["lang", "source"]
-# Spread below which a feature's deviation is no news, in units of the feature.
-FLOORS = {"length": 0.5, "word": 0.1, "symbols": 0.03, "lines": 0.2, "repeats": 0.2, "upper": 0.05, "marks": 0.04}
+# Spread below which a feature's deviation is no news, in units of the feature. Lines end at 1
+# and repeats, by the base rule, at the root of 0.5: either's largest distance is about 100.
+FLOORS = {"length": 0.5, "word": 0.1, "symbols": 0.03, "lines": 0.1, "repeats": 0.07, "upper": 0.05, "marks": 0.04}
 
 
 def _repeat_words(words: Column) -> Column:

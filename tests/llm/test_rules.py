@@ -61,6 +61,29 @@ def test_outliers(spark):
     assert all(kept[1000 + i] for i in range(3))  # a group too small to estimate
 
 
+def test_each_statistic_rejects_alone(spark):
+    rng = random.Random(5)
+    lines = lambda n: "\n".join(prose(rng, 8) for _ in range(n))
+    words = lambda: prose(rng, 200).split()
+    again = prose(rng, 90)
+    bad = {
+        "length": lines(20_000),
+        "word": "\n".join(" ".join(w * 8 for w in line.split()) for line in lines(25).split("\n")),
+        "symbols": "### ".join(words()),
+        "lines": "\n".join(f"mmmm\nnnnnn\n{w}" for w in words()),
+        "repeats": lines(23) + "\n" + again.replace(" ", "  ") + "\n" + again,
+        "upper": lines(25).upper(),
+        "marks": "!! ".join(words()),
+    }
+    rows = [(i, lines(rng.randint(15, 40)), "en", "a") for i in range(200)]
+    rows += [(1000 + i, text, "en", "a") for i, text in enumerate(bad.values())]
+    out = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    got = {r.doc_id: r for r in out.collect()}
+    assert all(got[i].kept for i in range(200))
+    kept = {name: (got[1000 + i].kept, got[1000 + i].base_failed) for i, name in enumerate(bad)}
+    assert kept == dict.fromkeys(bad, (False, False))
+
+
 def test_native_and_empty(documents):
     out = quality_rules(documents(["a"]).limit(0))
     assert out.count() == 0
