@@ -14,24 +14,15 @@ import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from rolecall.llm.common import texts_of
+from rolecall.llm.chunks import Chunks, Grown, byte_level, gather, sliced, split, vocabulary
 
 ID_BYTES = 4
-_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#$%&*|]+)?").fullmatch
-
-
-def _spelling() -> list[str]:
-    """How byte-level BPE spells each byte: visible Latin-1 as itself, the rest from U+0100 on."""
-    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = iter(range(0x100, 0x200))
-    return [chr(b if b in visible else next(others)) for b in range(256)]
-
-
-_SPELLING = _spelling()
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#$%&*|]+)?").fullmatch
 PIECES = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -49,68 +40,120 @@ SCHEMA = (
 )
 
 
-class WordCache:
-    """Token ids of texts, as little-endian unsigned 32-bit.
+def cut(text: str) -> list[str]:
+    """Cut where a space stands before a character that is no white space."""
+    first, *others = text.split(" ")
+    words = [first]
+    for w in others:
+        if not w or w[0].isspace():
+            words[-1] += " " + w
+        else:
+            words.append(w)
+    return words
+
+
+class Words(Chunks):
+    """Token ids of words that follow a space, as runs of `ids`.
 
-    A byte-level BPE tokenizer of this pattern never joins what stands before a space and a
-    non-space with what follows, so texts are cut there and each distinct word is encoded
-    once. Nor does it join plain letters with the marks behind them, so these are encoded
-    apart, straight by the tokenizer's model. `limit` bounds the memory: a full cache starts
-    anew.
+    A byte-level BPE tokenizer whose pattern takes one space with the word behind it never
+    joins tokens across such a cut. Nor does it join plain letters with the marks behind
+    them, so these go straight to the tokenizer's model, which is much faster than its
+    pattern. Both are asserted: the first for all words, the second for the first ones.
     """
 
-    def __init__(self, tokenizer_file: str, limit: int = 300_000):
+    def __init__(self, tokenizer_file: str, limit: int = 48_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True  # their names in a text are plain text
+        self.lengths = np.array([len(t) for t in vocabulary(self.tokenizer)], np.int64)
+        self.spelled = {b: c for c, b in byte_level().items()}
+        self.tokenizer.model._resize_cache(0)  # of no use for words that come once
         self.tokenize = self.tokenizer.model.tokenize
-        self.limit, self.known = limit, {}
-
-    @staticmethod
-    def words(text: str) -> list[str]:
-        first, *others = text.split(" ")
-        if not any(not w or w[0].isspace() for w in others):
-            return [first, *[" " + w for w in others]]
-        words = [first]
-        for w in others:
-            if not w or w[0].isspace():
-                words[-1] += " " + w
-            else:
-                words.append(" " + w)
-        return words
-
-    def _part(self, part: str) -> bytes:
-        """Ids of plain letters, or of plain marks, which are one piece to the tokenizer."""
-        ids = self.known.get(part)
-        if ids is None:
-            spelled = "".join([_SPELLING[b] for b in part.encode()])
-            ids = self.known[part] = b"".join([t.id.to_bytes(ID_BYTES, "little") for t in self.tokenize(spelled)])
-        return ids
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.limit:
-            self.known.clear()
-        known = self.known
-        cut = [self.words(t) for t in texts]
-        odd = []
-        for w in {w for words in cut for w in words}.difference(known):
-            plain = _PLAIN(w)
-            if plain is None:
-                odd.append(w)
-            elif plain[2]:
-                known[w] = self._part(plain[1]) + self._part(plain[2])
-            else:
-                self._part(w)
-        for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            known[w] = b"".join([i.to_bytes(ID_BYTES, "little") for i in e.ids])
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
+        self.asserted = False
+        super().__init__(limit)
+
+    def clear(self) -> None:
+        super().clear()
+        self.ids, self.starts, self.counts = Grown(np.uint32), Grown(np.int64), Grown(np.int64)
+        self.parts: dict[str, list[int]] = {}
+
+    def piece(self, text: str) -> list[int]:
+        """Ids of what is one piece to the tokenizer's pattern."""
+        return [t.id for t in self.tokenize(text.encode().decode("latin-1").translate(self.spelled))]
+
+    def by_pattern(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts) by the whole tokenizer."""
+        text = " " + " ".join(chunks)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.cumsum(self.lengths[ids])
+        stops = np.cumsum([len(c.encode()) + 1 for c in chunks])
+        last = np.searchsorted(ends, stops)
+        if not np.array_equal(ends[last], stops):
+            raise ValueError("this tokenizer joins tokens across a space before a word")
+        return ids, np.diff(last, prepend=-1)
+
+    def learn(self, chunks: list[str]) -> None:
+        ids: list[int] = []
+        parts = self.parts  # letters behind a space, and marks
+        counts = np.zeros(len(chunks), np.int64)
+        odd, odd_at = [], []
+        for i, (c, found) in enumerate(zip(chunks, map(_PLAIN, chunks))):
+            if found is None:
+                odd.append(c)
+                odd_at.append(i)
+                continue
+            letters, marks = found.groups()
+            own = parts.get(letters)
+            if own is None:
+                own = parts[letters] = self.piece(" " + letters)
+            if marks:
+                after = parts.get(marks)
+                if after is None:
+                    after = parts[marks] = self.piece(marks)
+                own = own + after
+            counts[i] = len(own)
+            ids += own
+        if not self.asserted and ids:
+            plain = [c for c in chunks if _PLAIN(c)]
+            if self.by_pattern(plain)[0].tolist() != ids:
+                raise ValueError("this tokenizer has another pattern for letters and marks")
+            self.asserted = True
+        starts = np.cumsum(counts) - counts
+        more = np.array(ids, np.uint32)
+        if odd:
+            more_ids, counts[odd_at] = self.by_pattern(odd)
+            starts[odd_at] = len(more) + np.cumsum(counts[odd_at]) - counts[odd_at]
+            more = np.concatenate([more, more_ids])
+        self.starts.add(starts + self.ids.size)
+        self.counts.add(counts)
+        self.ids.add(more)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(bounds, ids): the ids of text i are ids[bounds[i]:bounds[i + 1]]."""
+        bounds, index, chunks = split(texts, cut)
+        full = np.flatnonzero(np.diff(bounds))
+        at = bounds[:-1][full]  # the first word of a text has no space before it
+        first = [e.ids for e in self.tokenizer.encode_batch_fast(chunks.take(pa.array(index[at])).to_pylist(), add_special_tokens=False)]
+        later = np.ones(len(index), bool)
+        later[at] = False
+        used = np.unique(index[later])
+        place = np.zeros(len(chunks), np.int64)
+        place[used] = self.places(chunks.take(pa.array(used)).to_pylist())
+        place = place[index[later]]
+        starts, counts = np.zeros((2, len(index)), np.int64)
+        starts[later], counts[later] = self.starts.values[place], self.counts.values[place]
+        room = np.concatenate([self.ids.values, np.array([i for ids in first for i in ids], np.uint32)])
+        sizes = np.fromiter(map(len, first), np.int64, len(first))
+        starts[at], counts[at] = self.ids.size + np.cumsum(sizes) - sizes, sizes
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        return ends[bounds], room[gather(starts, counts)]
 
 
 @lru_cache(maxsize=1)
-def word_cache(tokenizer_file: str) -> WordCache:
+def word_cache(tokenizer_file: str) -> Words:
     """The cache of a Python worker, which serves one task after the other."""
-    return WordCache(tokenizer_file)
+    return Words(tokenizer_file)
 
 
 def harmonic_cut(length: int, capacity: int, least: int) -> list[int]:
@@ -202,11 +245,11 @@ def pack(
             )
 
         for batch in batches:
-            names = batch.column("doc_id").to_pylist()
-            texts = [t.decode() for t in texts_of(batch, "text")]
-            for i in range(0, len(texts), 500):
-                for doc_id, ids in zip(names[i:], cache.encode(texts[i : i + 500])):
-                    worker.add(doc_id, ids + end)
+            for part in sliced(batch, "text"):
+                bounds, ids = cache.encode(part.column("text"))
+                data, bounds = ids.astype("<u4").tobytes(), (bounds * ID_BYTES).tolist()
+                for doc_id, a, b in zip(part.column("doc_id").to_pylist(), bounds, bounds[1:]):
+                    worker.add(doc_id, data[a:b] + end)
                 yield rows()
         worker.finish()
         yield rows()

@@ -1,9 +1,11 @@
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from rolecall.llm.packing import WordCache, harmonic_cut, pack
+from rolecall.llm.chunks import sliced
+from rolecall.llm.packing import Words, harmonic_cut, pack
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -57,10 +59,22 @@ def test_edge_cases(documents, tokenizer):
 
 
 def test_words_keep_ids(tokenizer):
-    cache = WordCache(FILE, limit=3)
-    texts = ["a  b", "a \n b", "x\n y", " ", "", "  ", "\t a", "it's 3 $4 !? ok", "a  b", "a  b", "q" * 300]
-    for t in texts:
-        assert np.frombuffer(cache.encode([t])[0], "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    cache = Words(FILE, limit=3)
+    texts = ["a  b", "a \n b", "x\n y", " ", "", "  ", "\t a", "it's 3 $4 !? ok", "a  b", None, "a  b", "q" * 300, "foo  ", "a   ", "x y"]
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for t, ids in zip(texts, want):
+        assert cache.encode(pa.array([t], pa.string()))[1].tolist() == ids
+    bounds, ids = cache.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want
+    assert [len(x) for x in cache.encode(pa.array([], pa.string()))] == [1, 0]
+
+
+def test_slices_hold_all_rows():
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * 10, None, "b" * 100, "", "c"]})
+    for most in (1, 11, 50, 1000):
+        parts = [p.column("text").to_pylist() for p in sliced(batch, "text", most)]
+        assert sum(parts, []) == batch.column("text").to_pylist()
+        assert all(len(p) == 1 or sum(len(t or "") for t in p) <= most for p in parts)
 
 
 @pytest.mark.parametrize("length", [1, 31, 33, 511, 512, 1023, 1024, 1025, 5000])
