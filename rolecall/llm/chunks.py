@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 # White space of Python's str, which holds that of the tokenizers' patterns.
 _SPACE = r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-_ODD = f" ([{_SPACE}]|$)"
+ODD = f" ([{_SPACE}]|$)"
 
 
 def sliced(batch: pa.RecordBatch, name: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -29,17 +29,19 @@ def sliced(batch: pa.RecordBatch, name: str, most_bytes: int = 4 << 20) -> Itera
         start = stop
 
 
-def split(texts: pa.Array, cut: Callable[[str], list[str]] | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+def split(
+    texts: pa.Array, cut: Callable[[str], list[str]] | None = None, odd_if: str = ODD
+) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(bounds, index, chunks): text i is chunks[index[bounds[i]:bounds[i + 1]]].
 
-    Texts are cut at each space, which no chunk holds. If `cut` is given, it cuts the texts in
-    which a space stands before white space or at the end; all chunks but the first then
-    come without the space that they start with. NULL is empty, and an empty text has no chunk.
+    Texts are cut at each space, which no chunk holds. If `cut` is given, it cuts the texts that
+    match `odd_if`, by default those in which a space stands before white space or at the end;
+    all chunks but the first then come without the space that they start with. NULL is empty, and an empty text has no chunk.
     """
     texts = pc.fill_null(texts.cast(pa.string()), "")
     lists = pc.split_pattern(texts, " ")
     if cut is not None:
-        odd = pc.match_substring_regex(texts, _ODD)
+        odd = pc.match_substring_regex(texts, odd_if)
         if pc.any(odd).as_py():
             rows = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
             order = np.arange(len(texts))

@@ -5,11 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolecall.llm import chat, decontam, ngram, packing, quality, repeats, rules, secrets, simhash, warc
+from rolecall.llm import align, chat, decontam, ngram, packing, quality, repeats, rules, secrets, simhash, warc
 from rolecall.llm.common import table
 from rolecall.sources import shared_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +63,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digest(align.link_counts(table(spark, sf_dir, "documents"), TOKENIZER, PIECES))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,7 +75,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (
     op1_secrets, op2_decontam, op3_chat, op4_simhash, op5_ngram, op6_quality, op7_packing, op8_rules, op9_repeats,
-    op10_warc, pipeline,
+    op10_warc, op13_align, pipeline,
 )
 QUERIES = {query.__name__: query for query in _ALL}
 ORACLE = {"op3_chat": chat.ORACLE}

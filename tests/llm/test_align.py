@@ -1,0 +1,111 @@
+import hashlib
+import re
+from collections import Counter
+
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from rolecall.llm.align import Aligner, cut, digest, link_counts
+from rolecall.llm.chunks import byte_level
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def both():
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    return a, SentencePieceProcessor(model_file=B)
+
+
+def tokens(text, a, b):
+    """(ids, bytes) of each token of both, or none."""
+    to_byte = byte_level()
+    one = a.encode(" " + text, add_special_tokens=False)
+    one = [(i, bytes(to_byte[c] for c in t)) for i, t in zip(one.ids, one.tokens)]
+    two = []
+    for i in b.encode(text):
+        p = b.id_to_piece(i)
+        byte = re.fullmatch("<0x(..)>", p)
+        two.append((i, bytes([int(byte[1], 16)]) if byte else p.replace("▁", " ").encode()))
+    raw = (" " + text).encode()
+    same = text and all(b"".join(x for _, x in ts) == raw for ts in (one, two))
+    return (one, two) if same else ([], [])
+
+
+def brute(texts, a, b):
+    rows, held = [], Counter()
+    for doc_id, text in texts:
+        one, two = tokens(text or "", a, b)
+        at = [[k for k, (_, x) in enumerate(ts) for _ in x] for ts in (one, two)]  # the token of each byte
+        links = [(one[i][0], two[j][0]) for i, j in dict.fromkeys(zip(*at))]
+        groups, i, j, n_a, n_b = [], 0, 0, len(one), len(two)
+        ends = [[sum(len(x) for _, x in ts[: k + 1]) for k in range(len(ts))] for ts in (one, two)] if n_a < 3000 else None
+        if ends is None:
+            ends = [[], []]
+            for own, ts in zip(ends, (one, two)):
+                total = 0
+                for _, x in ts:
+                    total += len(x)
+                    own.append(total)
+        for end in sorted(set(ends[0]) & set(ends[1])):
+            x, y = ends[0].index(end, i) + 1, ends[1].index(end, j) + 1
+            groups.append(",".join(str(t) for t, _ in one[i:x]) + "|" + ",".join(str(t) for t, _ in two[j:y]))
+            i, j = x, y
+        held.update(set(links))
+        rows.append((doc_id, n_a, n_b, len(groups), links, ";".join(groups)))
+    top = Counter()
+    for (x, _), n in held.items():
+        top[x] = max(top[x], n)
+    return sorted(
+        (str(i), n_a, n_b, n, len(links), sum(held[p] == top[p[0]] for p in links), sum(held[p] for p in links), said and hashlib.sha256(said.encode()).hexdigest())
+        for i, n_a, n_b, n, links, said in rows
+    )
+
+
+def rows_of(found):
+    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    return sorted((str(r.doc_id), *[r[n] for n in names]) for r in digest(found).collect())
+
+
+HARD = [
+    (1, None), (2, ""), (3, "  two  spaces \n\n here\t 　x  "), (4, "a" * 3000), (5, "<|endoftext|> don't </s> <0x41> <unk>"),
+    (6, " lead"), (7, "\n\n \nx \n y"), (8, "é 😀 ü\x85 \x1c z 𓀀𓀁 ́x"), (9, "w " * 5_000), (None, "nothing"), (2, ""),
+    (10, "a▁b has the mark"), (11, "tab\tx\r\n  y   "), (12, "日本語 のテキスト 🏳️‍🌈 naïve"), (13, "nul\x00 x"), (14, " "), (15, "   "),
+    (16, "the same the same"), (17, "the same the same"), (12, "日本語 のテキスト 🏳️‍🌈 naïve"), (18, "‘curly’ – “x”…"), (19, "﻿ bom ​"),
+]
+
+
+def test_hard_texts(documents, both):
+    want = brute(HARD, *both)
+    assert rows_of(link_counts(documents(HARD), A, B)) == want
+    assert rows_of(link_counts(documents(HARD), A, B, max_pairs=0)) == want
+    assert link_counts(documents(["a"]).limit(0), A, B).count() == 0
+
+
+def test_sample(sample, both):
+    rows, texts = sample
+    want = brute(texts, *both)
+    assert rows_of(link_counts(rows, A, B)) == want
+    assert rows_of(link_counts(rows.withColumnRenamed("lang", "pair").withColumnRenamed("source", "row"), A, B, max_pairs=10)) == want
+
+
+def test_chunks_in_any_company(both):
+    """What a chunk's neighbours are, and what the cache holds, makes no difference."""
+    texts = [t or "" for _, t in HARD]
+    own = Aligner(A, B, limit=50)
+    whole = own.align(pa.array(texts))
+    for k, t in enumerate(texts):
+        sizes, groups, bounds, pairs, times = own.align(pa.array([t]))
+        assert (sizes[0].tolist(), groups[0]) == (whole[0][k].tolist(), whole[1][k])
+        i, j = whole[2][k : k + 2]
+        assert (pairs.tolist(), times.tolist()) == (whole[3][i:j].tolist(), whole[4][i:j].tolist())
+
+
+def test_cut():
+    for t in ["a b", " a  b c", "x\n y", "x \n  y ", "", " "]:
+        assert " ".join(cut(t)) == t
+    assert cut("a  b\n c  ") == ["a", " b\n c  "]
