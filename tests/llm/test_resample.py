@@ -1,0 +1,96 @@
+import hashlib
+import math
+import re
+from collections import Counter
+from zlib import crc32
+
+import numpy as np
+import pyarrow as pa
+
+from rolecall.llm.resample import Words, gains, joined_crc, resample
+
+
+def words_of(text):
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+
+
+def buckets_of(text):
+    w = words_of(text)
+    return [crc32(f.encode()) % 10000 for f in [*w, *[f"{a} {b}" for a, b in zip(w, w[1:])]]]
+
+
+def brute(docs, target):
+    s = Counter(b for _, t in docs for b in buckets_of(t))
+    t = Counter(b for x in target for b in buckets_of(x))
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * (all_s + 10000) / ((s[b] + 1) * (all_t + 10000)))) for b in range(10000)}
+    rows = []
+    for i, text in docs:
+        own = buckets_of(text)
+        weight = sum(gain[b] for b in own) // len(own) if own else 0
+        score = None
+        if i is not None:
+            h = int(hashlib.sha256(f"7:{i}".encode()).hexdigest()[:8], 16)
+            score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append([i, len(own), weight, score, None, len(words_of(text))])
+    drawn = sorted((r for r in rows if r[5] >= 20 and r[3] is not None), key=lambda r: (-r[3], r[0]))
+    for k, r in enumerate(drawn[: len(drawn) * 25 // 100]):
+        r[4] = k + 1
+    return sorted((tuple(r[:5]) for r in rows), key=str)
+
+
+def rows_of(found):
+    return sorted(((r.doc_id, r.n_features, r.weight, r.score, r["rank"]) for r in found.collect()), key=str)
+
+
+def benchmark(spark, texts):
+    return spark.createDataFrame([(t, "x", 1) for t in texts], "text string, doc_id string, rank int")
+
+
+def test_sample(spark, sample):
+    rows, texts = sample
+    target = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    assert rows_of(resample(rows, target)) == brute(texts, [r.text for r in target.collect()])
+
+
+def test_edge_cases(spark, documents):
+    long = "Word wörd " * 3000 + "x" * 5000
+    texts = [
+        (1, None), (2, ""), (3, " .,;\n "), (4, long), (5, "Ünï code ÄB 1a2b\x00\x7f" * 9), (6, "a " * 20), (7, "a " * 19), (None, "a " * 30),
+        (8, "É😀é-x_y " * 12), (9, "b\tc\nd " * 30), *[(10, "tie of many rows " * 5)] * 9, (11, "　ideographic　space " * 10),
+    ]
+    target = ["tie of many", None, "", "Wörd word A"]
+    assert rows_of(resample(documents(texts), benchmark(spark, target))) == brute(texts, target)
+    assert rows_of(resample(documents(texts), benchmark(spark, target).limit(0))) == brute(texts, [])
+    assert resample(documents(["a"]).limit(0), benchmark(spark, target)).count() == 0
+    clashing = documents(texts).withColumnRenamed("lang", "range").withColumnRenamed("source", "_tie")
+    assert rows_of(resample(clashing, benchmark(spark, target))) == brute(texts, target)
+
+
+def test_ranks_over_many_ranges(spark):
+    docs = [(i // 2 if i < 400 else 5, f"w{i % 7} " * 25) for i in range(1000)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    got = resample(rows.select("doc_id", "text"), benchmark(spark, ["w1 w1 w3"]), share=100)
+    ranks = sorted((r["rank"], -r.score, r.doc_id) for r in got.collect())
+    assert [r[0] for r in ranks] == list(range(1, 1001))
+    assert [r[1:] for r in ranks] == sorted(r[1:] for r in ranks)
+
+
+def test_joined_crc():
+    parts = [(b"a" * (i % 70), bytes(range(i % 200))) for i in range(300)]
+    first, second = (np.array([crc32(p[k]) for p in parts], np.uint32) for k in (0, 1))
+    got = joined_crc(first, second, np.array([len(b) for _, b in parts]))
+    assert got.tolist() == [crc32(a + b) for a, b in parts]
+
+
+def test_small_cache():
+    words = Words(limit=1)
+    for t in ["Ab c\td", "", "x", "Ab  c", "é ö.ß"]:
+        n, bounds, found = words.features(pa.array([t, None]), 10000)
+        assert sorted(found.tolist()) == sorted(buckets_of(t))
+        assert n.tolist() == [len(words_of(t)), 0] and bounds.tolist() == [0, len(found), len(found)]
+
+
+def test_gains_of_equal_shares():
+    assert gains(np.zeros(10, np.int64), np.zeros(10, np.int64)).tolist() == [0] * 10
