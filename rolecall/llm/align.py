@@ -72,7 +72,7 @@ class Aligner(Chunks):
     pairs of ids, as A * (number of B ids) + B, once for each link.
     """
 
-    def __init__(self, file_a: str, file_b: str, limit: int = 24_000_000):
+    def __init__(self, file_a: str, file_b: str, limit: int = 34_000_000):
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolecall.llm import align, chat, decontam, ngram, packing, quality, repeats, resample, rules, secrets, simhash, warc
+from rolecall.llm import align, chat, decontam, ngram, packing, quality, repeats, resample, rules, secrets, simhash, topk, warc
 from rolecall.llm.common import table
 from rolecall.sources import shared_dir
 
@@ -68,6 +68,10 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
+
+
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.digest(align.link_counts(table(spark, sf_dir, "documents"), TOKENIZER, PIECES))
 
@@ -80,7 +84,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (
     op1_secrets, op2_decontam, op3_chat, op4_simhash, op5_ngram, op6_quality, op7_packing, op8_rules, op9_repeats,
-    op10_warc, op11_resample, op13_align, pipeline,
+    op10_warc, op11_resample, op12_topk, op13_align, pipeline,
 )
 QUERIES = {query.__name__: query for query in _ALL}
-ORACLE = {"op3_chat": chat.ORACLE}
+ORACLE = {"op3_chat": chat.ORACLE, "op12_topk": topk.ORACLE}
