@@ -22,10 +22,10 @@ def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spans as text; every dialogue of the table fits one part."""
+    """Spans as text, in code points of the whole rendering."""
     rows = chat.rotate(table(spark, sf_dir, "conversations"))
     mask = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
-    return rows.select("conv_id", "speaker", "text", F.array_join(mask, ",").alias("mask"))
+    return rows.select("conv_id", "speaker", "part", "text", F.array_join(mask, ",").alias("mask"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

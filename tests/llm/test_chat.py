@@ -1,4 +1,6 @@
-from rolecall.llm.chat import rotate
+import duckdb
+
+from rolecall.llm.chat import ORACLE, rotate
 
 SCHEMA = "conv_id long, turn long, role string, text string, part string, speaker string"
 
@@ -21,12 +23,11 @@ def brute(rows, system="system"):
 
 
 def whole(rows):
-    """Parts put together."""
+    """Parts put together; masks are places in the whole."""
     out = {}
-    key = lambda r: (r.part, r.split is not None, r.split or 0, r.bucket)
-    for r in sorted(rows, key=key):
+    for r in sorted(rows, key=lambda r: r.part):
         text, mask = out.get((r.conv_id, r.speaker), ("", []))
-        out[r.conv_id, r.speaker] = (text + r.text, mask + [(len(text) + m.start, len(text) + m.end) for m in r.mask])
+        out[r.conv_id, r.speaker] = (text + r.text, mask + [(m.start, m.end) for m in r.mask])
     return out
 
 
@@ -44,14 +45,27 @@ def test_against_brute_force(spark):
     assert rotate(rows.limit(0)).count() == 0
 
 
-def test_one_huge_dialogue(spark):
-    rows = [(1, i // 40, f"r{i % 3}", f"text {i % 1000}", "", "") for i in range(4000)]
-    got = rotate(spark.createDataFrame(rows, SCHEMA), turns_per_part=10, largest_part=100).collect()
-    assert max(r.text.count("<|end|>") for r in got) < 200
-    want = brute(rows)
-    joined = whole(got)
-    assert joined.keys() == want.keys()
-    for key, (text, mask) in joined.items():  # turns in order; ties by hash instead of role and text
-        assert sorted(text.split("<|end|>\n")) == sorted(want[key][0].split("<|end|>\n"))
-        assert all(text[:a].endswith("<|assistant|>\n") and text[a:b].endswith("<|end|>\n") for a, b in mask)
-        assert len(mask) == len(want[key][1])
+def test_long_dialogues(spark):
+    """One rule for any length: 600 turns, and one dialogue with most rows, also within one turn number."""
+    rows = [(1, i, f"r{i % 3}", f"text {i}", "", "") for i in range(600)]
+    rows += [(2, i // 400, f"r{i % 3}", f"text {i % 1900}", "", "") for i in range(4000)] + [(None, 1, "amy", "x", "", "")]
+    conversations = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    got = rotate(conversations).collect()
+    assert {r.part for r in got if r.conv_id == 1} == {0, 1}
+    assert whole(got) == brute(rows)
+    small = rotate(conversations, turns_per_part=10).collect()
+    assert max(r.text.count("<|end|>") for r in small) == 10
+    assert whole(small) == brute(rows)
+
+
+def test_long_dialogue_against_sql(spark, tmp_path):
+    from checks.compare import differences
+    from rolecall.llm.queries import op3_chat
+
+    rows = [(1, i // 2, f"r{i % 3}", f"text {i} é", "", "") for i in range(1300)] + ROWS
+    rows = [r for r in rows if r[0] is not None]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    count, differing = differences(op3_chat(spark, str(tmp_path)), db, ORACLE)
+    assert count == 20 and not differing
