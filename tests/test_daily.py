@@ -8,7 +8,7 @@ from rolecall.operators import failed_keywords
 from rolecall.plans.daily import BatchFailed, run_daily
 from rolecall.schemas import SEED_TERMS
 from rolecall.sources import PostingStore, WatchedTerms
-from tests.test_store import at, land, ledger, run_pages
+from tests.test_store import at, failing, land, ledger, run_pages
 
 AT, LATER = datetime(2024, 1, 1), datetime(2024, 1, 2)
 
@@ -60,3 +60,18 @@ def test_daily(spark, shared):
     land(landing, "c", run_pages(3, 1, [1]))
     with pytest.raises(BatchFailed, match="inserted 0 postings, 1 required"):
         daily(min_succeeded=1, min_inserted=1)
+
+
+def test_daily_after_an_outage(spark, shared, monkeypatch):
+    store, landing = PostingStore(spark, f"{shared}/store", buckets=2), f"{shared}/landing"
+    terms = WatchedTerms(spark, f"{shared}/watched")
+    terms.add("kw 1", "kw 2", created_at=AT)
+    go = lambda: run_daily(spark, landing, store, f"{shared}/checkpoint", terms.read()).first()
+    land(landing, "a", run_pages(1, 1, [1, 2]))
+    with monkeypatch.context() as patch:
+        failing(patch)
+        with pytest.raises(RuntimeError):
+            go()
+    land(landing, "b", run_pages(1, 2, [3]))
+    assert go().total == 3
+    assert {r.run_id: r.status for r in store.ledger().collect()} == {"1-1": "success", "1-2": "success"}

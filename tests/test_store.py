@@ -87,6 +87,59 @@ def test_two_batches(spark, shared):
     assert len(content(store, version=1)) == 5
 
 
+def failing(monkeypatch):
+    """Makes the next upsert raise, after the batch has begun."""
+    import rolecall.plans.ingest as plan
+
+    def fail(*_):
+        raise RuntimeError("executors lost")
+
+    monkeypatch.setattr(plan, "latest_writes", fail)
+
+
+def test_stream_recovers(spark, shared, monkeypatch):
+    """A batch that raised is tried again, as it was, before what has landed since."""
+    landing, store = f"{shared}/landing", PostingStore(spark, f"{shared}/store", buckets=2)
+    go = lambda: ingest_landed(spark, landing, store, f"{shared}/checkpoint", files_per_batch=1)
+    land(landing, "a", run_pages(1, 1, [1, 2]))
+    assert go() == 1
+    land(landing, "b", run_pages(2, 1, [3, 4, 5, 6])[:1])
+    land(landing, "c", run_pages(2, 2, [1], title="new"))
+    with monkeypatch.context() as patch:
+        failing(patch)
+        for _ in range(2):  # also when it raises again
+            with pytest.raises(RuntimeError):
+                go()
+    assert ledger(store)["2-1"] == (0, 0, 0, 0, 0, "failed")
+    land(landing, "d", run_pages(2, 1, [3, 4, 5, 6])[1:] + run_pages(3, 1, [9]))
+    assert go() == 3
+    assert ledger(store) == {
+        "1-1": (2, 2, 0, 0, 0, "success"), "2-1": (4, 4, 0, 0, 0, "success"), "2-2": (1, 0, 1, 0, 0, "success"),
+        "3-1": (1, 1, 0, 0, 0, "success"),
+    }
+    assert sorted(content(store)) == list("1234569") and go() == 3
+    assert store.names("runs") == []
+
+
+def test_pages_taken_in_under_another_name(spark, shared, monkeypatch):
+    """What a failed attempt says of a run stands until all its pages have been taken in."""
+    store = PostingStore(spark, f"{shared}/store", buckets=2)
+    land(f"{shared}/all", "a", run_pages(1, 1, [1, 2, 3, 4]) + run_pages(1, 2, [5]))
+    land(f"{shared}/some", "b", run_pages(1, 1, [1, 2, 3, 4])[:1] + run_pages(1, 2, [5]))
+    land(f"{shared}/rest", "c", run_pages(1, 1, [1, 2, 3, 4])[1:])
+    with monkeypatch.context() as patch:
+        failing(patch)
+        with pytest.raises(RuntimeError):
+            ingest(store, read_pages(spark, f"{shared}/all"), "lost")
+    ingest(store, read_pages(spark, f"{shared}/some"), "some")
+    assert ledger(store)["1-2"] == (1, 1, 0, 0, 0, "success")
+    assert ledger(store)["1-1"] == (3, 3, 0, 0, 0, "partial")
+    since = store.version()
+    ingest(store, read_pages(spark, f"{shared}/rest"), "rest")
+    assert ledger(store)["1-1"] == (4, 4, 0, 0, 0, "success")
+    assert {r.run_id: r.status for r in store.ledger(since=since).collect()} == {"1-1": "success"}
+
+
 def test_abandoned_attempt_is_invisible(spark, shared):
     store = PostingStore(spark, shared, buckets=2)
     rows = spark.createDataFrame([("1", "a")], "external_id string, title string")
@@ -109,10 +162,10 @@ def test_abandoned_attempt_is_invisible(spark, shared):
     assert sorted(r.external_id for r in fresh.read().collect()) == ["1", "3"]
 
 
-def test_layers_are_folded(spark, shared):
-    """Many random batches equal a dictionary; folders per bucket stay bounded."""
+def test_snapshots(spark, shared):
+    """Many random batches equal a dictionary; each bucket is one folder."""
     rng = random.Random(5)
-    store = PostingStore(spark, shared, buckets=3, max_layers=3)
+    store = PostingStore(spark, shared, buckets=3)
     table = {}
     for batch in range(7):
         writes = {str(rng.randint(1, 40)): f"{batch}" for _ in range(12)}
@@ -123,9 +176,12 @@ def test_layers_are_folded(spark, shared):
         )
         store.commit(rows, str(batch), range(3))
         assert {r.external_id: r.title for r in store.read().collect()} == table
-        assert max(map(len, store.layers().values())) <= 3
-    store.compact()
-    assert set(map(len, store.layers().values())) == {1}
+        assert "Join" not in store.read()._jdf.queryExecution().optimizedPlan().toString()
+    # A batch leaves the other buckets alone.
+    before = store.snapshots()
+    store.commit(rows.filter(store.bucket() == 1), "one bucket", [1])
+    assert {b: v for b, v in store.snapshots().items() if b != 1} == {b: v for b, v in before.items() if b != 1}
+    assert store.snapshots()[1] == 8
     assert {r.external_id: r.title for r in store.read().collect()} == table
     assert "Join" not in store.read()._jdf.queryExecution().optimizedPlan().toString()
     one = store.read(buckets=[0]).select("external_id").withColumn("b", store.bucket())
@@ -136,7 +192,7 @@ def test_layers_are_folded(spark, shared):
 def test_stream_equals_batches_and_survives_a_replay(spark, shared):
     rng = random.Random(11)
     landing, checkpoint = f"{shared}/landing", f"{shared}/checkpoint"
-    streamed = PostingStore(spark, f"{shared}/streamed", buckets=4, max_layers=2)
+    streamed = PostingStore(spark, f"{shared}/streamed", buckets=4)
     batched = PostingStore(spark, f"{shared}/batched", buckets=4)
     for day in (1, 2, 3):
         for run in range(4):
@@ -248,7 +304,7 @@ def test_bucket_count_is_kept(spark, shared):
 
 def test_history_costs_nothing(spark, shared, monkeypatch):
     """Later versions read as few listings as the second."""
-    store = PostingStore(spark, shared, buckets=1, max_layers=2)
+    store = PostingStore(spark, shared, buckets=1)
     read = []
     own = PostingStore._listing
     monkeypatch.setattr(PostingStore, "_listing", lambda self, v: read.append(v) or own(self, v))
