@@ -2,8 +2,10 @@
 
 For every item of n words, each window of n words of every document (or the whole document,
 if it is a little shorter) is compared by word edit distance. An edit breaks at most two pairs
-of neighbouring words, so windows with too few of the pairs that items of n words hold cannot
-match and are left out at once. The others are embedded by CGK random walks, which map edit distance to Hamming distance: at step j the walk writes the word
+of neighbouring words, so windows that hold too few of the pairs of every item of n words cannot
+match and are left out at once; of an item's rarest pairs, some must be left even so, and only
+items with such a pair in the document are looked at. The other windows are embedded by CGK
+random walks, which map edit distance to Hamming distance: at step j the walk writes the word
 it stands on and moves on if a random bit of (j, word) says so. Each repetition has a walk of
 its own and samples a few of its steps; equal samples make a candidate, and candidates are
 verified by their exact edit distance. Repetitions follow from the item size, by a seeded
@@ -15,7 +17,8 @@ many documents hold them.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -144,21 +147,33 @@ class Walks:
 
 
 def edit_distance(a: list[int], b: list[int], most: int) -> int:
-    """Word edit distance, or `most` + 1 for more."""
+    """Word edit distance, or `most` + 1 for more. Only cells within `most` of the diagonal count."""
     if abs(len(a) - len(b)) > most:
         return most + 1
-    row = list(range(len(b) + 1))
+    if len(a) - len(set(a).intersection(b) - {OTHER}) > most + len(a) - len(set(a)):
+        return most + 1  # a word of `a` that `b` lacks takes an edit of its own
+    over = most + 1
+    row = [j if j <= most else over for j in range(len(b) + 1)]
     for i, x in enumerate(a, 1):
-        before, row[0] = row[0], i
-        low = most + 1
-        for j in range(1, len(b) + 1):
+        low, first, last = over, max(1, i - most), min(len(b), i + most)
+        before = row[first - 1]
+        row[first - 1] = i if first == 1 and i <= most else over
+        left = row[first - 1]
+        for j in range(first, last + 1):
             above = row[j]
-            row[j] = min(above + 1, row[j - 1] + 1, before + (x != b[j - 1] or x == OTHER))
-            before = above
-            low = min(low, row[j])
-        if min(low, i) > most:
-            return most + 1
-    return min(row[-1], most + 1)
+            y = b[j - 1]
+            if x == y and x != OTHER:
+                left = min(before, above + 1, left + 1)
+            else:
+                left = (before if before <= above and before <= left else above if above <= left else left) + 1
+            if left < low:
+                low = left
+            row[j], before = left, above
+        if last < len(b):
+            row[last + 1] = over
+        if low > most and row[first - 1] > most:
+            return over
+    return min(row[-1], over)
 
 
 def _sized(words: list[int]) -> np.ndarray:
@@ -166,23 +181,33 @@ def _sized(words: list[int]) -> np.ndarray:
 
 
 class Pairs:
-    """Neighbouring words of items, and the item sizes at which each pair occurs."""
+    """Neighbouring words of some items, given as word lists."""
 
-    def __init__(self, first: list[bytes], second: list[bytes], sizes: list[int], share: float):
+    def __init__(self, items: list[list[bytes]], share: float):
         self.share = share
-        self.singles = {w for w, n in zip(first, sizes) if n == 1}
-        words = sorted({*first, *second} - {b""})
-        self.place = {w: i for i, w in enumerate(words)}
-        self.ids = np.array([word_id(w) for w in words] + [OTHER], np.uint64)
-        both = [(self.place[a] * len(words) + self.place[b], n) for a, b, n in zip(first, second, sizes) if n > 1]
-        both = np.array(sorted(both), np.int64).reshape(-1, 2)
-        self.codes, self.starts = np.unique(both[:, 0], return_index=True)
+        self.singles = {words[0] for words in items if len(words) == 1}
+        known = sorted({w for words in items for w in words})
+        self.place = {w: i for i, w in enumerate(known)}
+        self.ids = np.array([word_id(w) for w in known] + [OTHER], np.uint64)
+        self.items = []  # (size, sorted pairs)
+        pairs = [self.codes(np.array([self.place[w] for w in words])) for words in items if len(words) > 1]
+        all_, held = np.unique(np.concatenate([np.zeros(0, np.int64), *[np.unique(p) for p in pairs]]), return_counts=True)
+        rare = []
+        for number, own in enumerate(pairs):
+            size = len(own) + 1
+            codes, times = np.unique(own, return_counts=True)
+            order = np.argsort(held[np.searchsorted(all_, codes)], kind="stable")
+            # Edits break 2 * limit places of pairs at most, so one more place of the rarest is left.
+            enough = np.searchsorted(np.cumsum(times[order]), 2 * int(share * size) + 1) + 1
+            rare += [(code, number) for code in codes[order[:enough]].tolist()]
+            self.items.append((size, codes))
+        both = np.array(sorted(rare), np.int64).reshape(-1, 2)
+        self.rare, self.starts = np.unique(both[:, 0], return_index=True)
         self.starts = np.append(self.starts, len(both))
-        self.sizes = both[:, 1]
+        self.holders = both[:, 1]
 
-    def need(self, size):
-        """Pairs of an item that a matching window holds at least."""
-        return size - 1 - 2 * (self.share * size).astype(np.int64)
+    def codes(self, place: np.ndarray) -> np.ndarray:
+        return place[:-1].astype(np.int64) * len(self.place) + place[1:]
 
     def windows(self, words: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
         """(start, item size, word ids) of the windows that may match."""
@@ -192,46 +217,34 @@ class Pairs:
             for i, w in enumerate(words):
                 if w in self.singles:
                     yield i, 1, self.ids[place[i : i + 1]].tobytes()
-        if n < 2 or not len(self.codes):
+        if n < 2 or not len(self.rare):
             return
         at = np.flatnonzero((place[:-1] >= 0) & (place[1:] >= 0))
-        code = place[at] * len(self.place) + place[at + 1]
-        found = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        own = self.codes[found] == code
-        at, found = at[own], found[own]
-        count = self.starts[found + 1] - self.starts[found]
-        ends = np.cumsum(count)
-        if not len(ends):
+        code = self.codes(place)[at]
+        found = np.minimum(np.searchsorted(self.rare, code), len(self.rare) - 1)
+        found = np.unique(found[self.rare[found] == code])
+        if not len(found):
             return
-        sizes = self.sizes[np.repeat(self.starts[found] - ends + count, count) + np.arange(ends[-1])]
-        at = np.repeat(at, count)
-        order = np.argsort(sizes, kind="stable")
-        sizes, at = sizes[order], at[order]
-        last = np.arange(len(sizes)) + np.maximum(self.need(sizes), 1) - 1
-        inside = last < len(sizes)
-        last = np.minimum(last, len(sizes) - 1)
-        enough = inside & (sizes[last] == sizes) & (at[last] - at <= sizes - 2)
-        for size in np.unique(sizes[enough]).tolist():
-            limit, need = int(self.share * size), max(int(self.need(np.int64(size))), 1)
-            hits = np.zeros(n, np.int64)
-            hits[at[sizes == size] + 1] = 1
-            hits = np.cumsum(hits)  # pairs up to each word
-            ids = self.ids[place]
-            if n >= size:
-                for start in np.flatnonzero(hits[size - 1 :] - hits[: n - size + 1] >= need).tolist():
-                    yield start, size, ids[start : start + size].tobytes()
-            elif n >= size - limit:
-                yield 0, size, ids.tobytes()
-
-
-def all_windows(words: list[bytes], sizes: list[int], share: float) -> Iterator[tuple[int, int, bytes]]:
-    ids = np.fromiter(map(word_id, words), np.uint64, len(words))
-    for size in sizes:
-        if len(ids) >= size:
-            for start in range(len(ids) - size + 1):
+        some = np.unique(np.concatenate([self.holders[self.starts[i] : self.starts[i + 1]] for i in found.tolist()]))
+        starts: dict[int, set[int]] = {}
+        for size, codes in map(self.items.__getitem__, some.tolist()):
+            need = size - 1 - 2 * int(self.share * size)  # pairs that a matching window holds at least
+            near = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            own = at[codes[near] == code]
+            if len(own) < need or n < size - int(self.share * size):
+                continue
+            if n < size:
+                starts.setdefault(size, set()).add(0)
+            elif (own[need - 1 :] - own[: len(own) - need + 1] <= size - 2).any():
+                hits = np.zeros(n, np.int64)
+                hits[own + 1] = 1
+                hits = np.cumsum(hits)  # pairs up to each word
+                inside = hits[size - 1 :] - hits[: n - size + 1] >= need
+                starts.setdefault(size, set()).update(np.flatnonzero(inside).tolist())
+        ids = self.ids[place]
+        for size, own in starts.items():
+            for start in sorted(own):
                 yield start, size, ids[start : start + size].tobytes()
-        elif len(ids) and len(ids) >= size - int(share * size):
-            yield 0, size, ids.tobytes()
 
 
 def find_items(
@@ -252,8 +265,8 @@ def find_items(
 
     Case and ASCII punctuation do not count. NULL texts are empty; items without words are
     held by nobody; NULL ids stay; repeated rows of documents add to `windows`, repeated items
-    do not. No rows on either side give none. Other columns are not read. Pairs of item
-    words are broadcast up to `max_pairs`; beyond it, no window is left out beforehand.
+    do not. No rows on either side give none. Other columns are not read. Items are broadcast
+    in blocks of about `max_pairs` words, each of which reads the documents once.
     """
     spark = docs.sparkSession
 
@@ -271,28 +284,23 @@ def find_items(
     prepared = prepared.filter("size > 0")
     sizes = sorted(r.size for r in prepared.select("size").distinct().toLocalIterator())
     plans = {n: plan(n, share, recall, samples) for n in sizes}
-    pairs = prepared.select(
-        F.explode(F.expr("transform(words, (w, i) -> struct(w AS a, coalesce(get(words, i + 1), cast('' AS binary)) AS b))")).alias("pair"),
-        "size",
-    )
-    pairs = pairs.select("pair.a", "pair.b", "size").filter("size = 1 OR octet_length(b) > 0").distinct()
-    known = None
-    if pairs.count() <= max_pairs:
-        known = Pairs(*zip(*[(bytes(r.a), bytes(r.b), r["size"]) for r in pairs.collect()] or [(b"", b"", 0)]), share)
-    shared = spark.sparkContext.broadcast((known, sizes))
-
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, sizes = shared.value
-        for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text")):
-                words = words_of(text)
-                windows = known.windows(words) if known else all_windows(words, sizes, share)
-                rows += [(doc_id, *w) for w in windows]
-                if len(rows) > 10_000:
-                    yield table_of(rows)
-                    rows = []
-            yield table_of(rows)
+    n_words = prepared.agg(F.sum("size")).first()[0] or 0
+    n_blocks = max(1, math.ceil(n_words / max_pairs))
+    prepared = prepared.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(n_blocks)).cast("int"))
+
+    def search(known) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows: list[tuple] = []
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text")):
+                    for window in known.value.windows(words_of(text)):
+                        rows.append((doc_id, *window))
+                        if len(rows) >= 10_000:
+                            yield table_of(rows)
+                            rows = []
+                yield table_of(rows)
+
+        return work
 
     def table_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows) if rows else [[]] * 4
@@ -300,9 +308,13 @@ def find_items(
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "start", "size", "window"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    places = written(
-        texts.mapInArrow(search, "doc_id long, start int, size int, window binary").withColumn("window_id", F.xxhash64("window", "size"))
-    )
+    found_places = []
+    for block in range(n_blocks):
+        own_items = prepared.filter(F.col("block") == block).select("words", "item").dropDuplicates(["item"])
+        known = spark.sparkContext.broadcast(Pairs([[bytes(w) for w in r["words"]] for r in own_items.collect()], share))
+        found = texts.mapInArrow(search(known), "doc_id long, start int, size int, window binary")
+        found_places.append(found.withColumn("block", F.lit(block)))
+    places = written(reduce(DataFrame.unionByName, found_places).withColumn("window_id", F.xxhash64("window", "size", "block")))
 
     def blocks(batches: Iterable[pa.RecordBatch], item: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,13 +353,14 @@ def find_items(
         return walked.unionByName(cut).select(F.col("id").alias(name), "key", "walk").distinct()
 
     # Equal words of one size are one window, equal items one item text.
-    windows = places.groupBy("window_id", "size").agg(F.min("window").alias("window"))
-    texts_ = prepared.withColumn("text_id", F.xxhash64("item")).groupBy("text_id", "size").agg(F.min("item").alias("item"))
+    windows = places.groupBy("window_id", "size", "block").agg(F.min("window").alias("window"))
+    texts_ = prepared.withColumn("text_id", F.xxhash64("item")).groupBy("text_id", "size", "block").agg(F.min("item").alias("item"))
     left = keyed(windows.select(F.col("window_id").alias("id"), F.col("window").alias("words"), "size"), "window_id", False)
     right = keyed(texts_.select(F.col("text_id").alias("id"), F.col("item").alias("words"), "size"), "text_id", True)
     near = left.join(right, ["key", "walk"]).select("window_id", "text_id").distinct()
-    # The size says for which items a window was cut.
-    near = near.join(windows, "window_id").join(texts_.withColumnRenamed("size", "_size"), "text_id").filter("size = _size")
+    # Size and block say for which items a window was cut.
+    own_texts = texts_.withColumnsRenamed({"size": "_size", "block": "_block"})
+    near = near.join(windows, "window_id").join(own_texts, "text_id").filter("size = _size AND block = _block")
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
