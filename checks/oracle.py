@@ -141,13 +141,14 @@ def _chain(rows: str, state: str | None) -> str:
     """Outcomes of `rows` in arrival order, each compared with its predecessor."""
     start = f"UNION ALL SELECT {_JOB_COLUMNS}, CAST(-1 AS BIGINT), CAST(NULL AS VARCHAR) FROM {state}" if state else ""
     run = "CAST(NULL AS VARCHAR)" if state else "run_id"
-    differs = " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in COMPARED)
+    content = ", ".join(f"{c} := {c}" for c in COMPARED)
     return f"""
 events_ AS (SELECT {_JOB_COLUMNS}, arrival, {run} AS run_id FROM {rows} {start}),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY external_id ORDER BY arrival) AS rn FROM events_),
-outcomes AS (SELECT a.*, CASE WHEN a.arrival = -1 THEN 'stored' WHEN b.rn IS NULL THEN 'inserted'
-    WHEN {differs} THEN 'updated' ELSE 'skipped' END AS outcome
-  FROM ranked a LEFT JOIN ranked b ON a.external_id = b.external_id AND a.rn = b.rn + 1),
+ranked AS (SELECT *, row_number() OVER keys AS rn, lag(content) OVER keys AS before
+  FROM (SELECT *, hash(struct_pack({content})) AS content FROM events_)
+  WINDOW keys AS (PARTITION BY external_id ORDER BY arrival)),
+outcomes AS (SELECT * EXCLUDE (content, before), CASE WHEN arrival = -1 THEN 'stored' WHEN rn = 1 THEN 'inserted'
+    WHEN content <> before THEN 'updated' ELSE 'skipped' END AS outcome FROM ranked),
 writes AS (SELECT external_id, max(arrival) AS arrival FROM outcomes WHERE outcome <> 'skipped' GROUP BY external_id),
 final AS (SELECT o.* REPLACE (w.fetched_at AS fetched_at) FROM
   (SELECT * FROM outcomes QUALIFY row_number() OVER (PARTITION BY external_id ORDER BY arrival DESC) = 1) o
@@ -210,7 +211,7 @@ ORACLE = {
     "flatten_posting": f"""WITH {_ITEMS_CTE} SELECT run_id, page, pos AS position, coalesce(id, '') AS external_id,
   title, company, location, country, salary_min, salary_max, description, url, date_posted,
   CAST(landed_at AS VARCHAR) AS fetched_at FROM items WHERE error IS NULL""",
-    "page_runs": f"WITH {_ASSEMBLED_CTE} SELECT run_id, keyword, page, pos AS position, id FROM assembled",
+    "page_runs": f"WITH {_FETCHED_CTE} SELECT run_id, keyword, page, pos AS position, id FROM assembled",
     "normalize_title": _over_raw(f"SELECT order_no, {_title('title')} AS title FROM raw"),
     "normalize_salary": _over_raw(
         f"SELECT order_no, {_salary('salary_min')} AS salary_min, {_salary('salary_max')} AS salary_max FROM raw"
@@ -345,11 +346,15 @@ SELECT unnest(['data engineer', 'data analyst', 'machine learning engineer', 'ba
     "chart_skills": _over_jobs(f"SELECT * FROM ({_TOP_SKILLS}) ORDER BY job_count"),
     "chart_companies": _over_jobs(f"SELECT * FROM ({_NAMED}) ORDER BY count"),
     "skill_trend": _over_jobs(
+        f"SELECT *, row_number() OVER (PARTITION BY week_start ORDER BY change DESC NULLS LAST, skill) AS rise_rank FROM (WITH "
+        f"counted AS (SELECT skill, CAST(date_trunc('week', date_posted) AS TIMESTAMP) AS w, count(*) AS n FROM ({_SKILL_ROWS}) "
+        "WHERE date_posted IS NOT NULL GROUP BY ALL), "
+        "weeks AS (SELECT CAST(date_trunc('week', date_posted) AS TIMESTAMP) AS w, count(*) AS postings FROM jobs "
+        "WHERE date_posted IS NOT NULL GROUP BY ALL), "
+        "spine AS (SELECT skill, unnest(generate_series(min(w), (SELECT max(w) FROM weeks), INTERVAL 7 DAY)) AS w FROM counted GROUP BY skill), "
+        "dense AS (SELECT skill, w, coalesce(n, 0) AS n, postings FROM spine LEFT JOIN counted USING (skill, w) LEFT JOIN weeks USING (w)) "
         f"SELECT skill, strftime(w, '%Y-%m-%d') AS week_start, n AS job_count, {_percent('n', 'postings', 2)} AS share_pct, "
-        "n - lag(n) OVER (PARTITION BY skill ORDER BY w) AS change FROM "
-        f"(SELECT skill, date_trunc('week', date_posted) AS w, count(*) AS n FROM ({_SKILL_ROWS}) "
-        "WHERE date_posted IS NOT NULL GROUP BY ALL) JOIN "
-        "(SELECT date_trunc('week', date_posted) AS w, count(*) AS postings FROM jobs GROUP BY ALL) USING (w)"
+        "n - lag(n) OVER (PARTITION BY skill ORDER BY w) AS change FROM dense)"
     ),
     "director_salary": _over_jobs(
         f"SELECT title ILIKE '%director%' AS is_director, count(*) AS posting_count, {_mean('salary_min')} "

@@ -89,8 +89,8 @@ def flatten_posting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The paging rule of a search run."""
-    rows = assemble_runs(inputs.landed_pages(spark, sf_dir), RESULTS_PER_PAGE, MAX_PAGES)
+    """The runs of all landed pages."""
+    rows = assemble_runs(inputs.landed_pages(spark, sf_dir))
     return rows.select("run_id", "keyword", "page", "position", F.col("posting.id").alias("id"))
 
 

@@ -150,8 +150,12 @@ def company_skills(jobs: DataFrame) -> DataFrame:
 
 
 def skill_trend(jobs: DataFrame) -> DataFrame:
-    """Postings per skill and week, share of that week's postings, change to the skill's
-    preceding week. Windows cover counted rows only: one per skill and week."""
+    """Postings per skill and week, share of that week's postings, change to the week before,
+    and the place among the week's skills by that change, the fastest-rising first.
+
+    A skill has every week from its first to the last of all postings, with no postings in
+    some; the first has no change. Windows cover counted rows only: one per skill and week.
+    """
     counts = (
         _skills_and_posting(
             jobs.filter("date_posted IS NOT NULL"),
@@ -160,18 +164,26 @@ def skill_trend(jobs: DataFrame) -> DataFrame:
         .groupBy("week_start", "_posting", "skill")
         .agg(F.count("*").alias("job_count"))
     )
-    postings = F.max(F.when(F.col("_posting"), F.col("job_count")))
-    shares = counts.withColumn("_postings", postings.over(Window.partitionBy("week_start")))
-    change = F.col("job_count") - F.lag("job_count").over(
-        Window.partitionBy("skill").orderBy("week_start")
+    weeks = counts.filter("_posting").select("week_start", F.col("job_count").alias("_postings"))
+    found = counts.filter(~F.col("_posting")).drop("_posting")
+    last = F.broadcast(weeks.agg(F.max("week_start").alias("_last")))  # one row
+    spine = found.groupBy("skill").agg(F.min("week_start").alias("_first")).join(last)
+    spine = spine.select(
+        "skill", F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 7 DAYS"))).alias("week_start")
+    )
+    dense = spine.join(found, (spine["skill"].eqNullSafe(found["skill"])) & (spine["week_start"] == found["week_start"]), "left").select(
+        spine["skill"], spine["week_start"], F.coalesce("job_count", F.lit(0).cast("long")).alias("job_count")
     )
+    change = F.col("job_count") - F.lag("job_count").over(Window.partitionBy("skill").orderBy("week_start"))
+    rise = Window.partitionBy("week_start").orderBy(F.desc_nulls_last("change"), "skill")
     return (
-        shares.filter(~F.col("_posting"))
+        dense.join(weeks, "week_start", "left")
         .select(
             "skill", "week_start", "job_count",
             percentage(F.col("job_count"), F.col("_postings"), 2).cast("double").alias("share_pct"),
             change.alias("change"),
         )
+        .withColumn("rise_rank", F.row_number().over(rise).cast("long"))
         .orderBy("skill", "week_start")
     )
 

@@ -116,6 +116,21 @@ def test_posted(spark):
         "2024-02-31": None,
         "12:30": None,
         "not a date": None,
+        "20240105T083000Z": datetime(2024, 1, 5, 8, 30),
+        "20240105T0830+0200": datetime(2024, 1, 5, 6, 30),
+        "20240105": datetime(2024, 1, 5),
+        "20240231": None,
+        "2024-005": datetime(2024, 1, 5),
+        "2024366T12:00:00.5Z": datetime(2024, 12, 31, 12, 0, 0, 500000),
+        "2023-366": None,
+        "2024-000": None,
+        "2024-W01-5": datetime(2024, 1, 5),
+        "2020W537T2359": datetime(2021, 1, 3, 23, 59),
+        "2024-W53-1": None,
+        "2024-W00-1": None,
+        "2024-W01": None,
+        "20240105T08300": None,
+        "120000": None,
     }
     assert apply(spark, fn.parse_posted, *cases) == list(cases.values())
 

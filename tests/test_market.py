@@ -63,10 +63,23 @@ def test_time(jobs):
         (date(2024, 2, 10), "Dev", None, 5),
     ]
     assert rows(market.skill_trend(jobs)) == [
-        ("dbt", date(2024, 1, 8), 1, 50.0, None),
-        ("java", date(2024, 1, 1), 2, 66.67, None),
-        ("sql", date(2024, 1, 1), 2, 66.67, None),
-        ("sql", date(2024, 1, 8), 2, 100.0, 0),
+        ("dbt", date(2024, 1, 8), 1, 50.0, None, 3),
+        ("java", date(2024, 1, 1), 2, 66.67, None, 1),
+        ("java", date(2024, 1, 8), 0, 0.0, -2, 2),
+        ("sql", date(2024, 1, 1), 2, 66.67, None, 2),
+        ("sql", date(2024, 1, 8), 2, 100.0, 0, 1),
+    ]
+
+
+def test_trend_over_a_gap(jobs):
+    """A week without a skill, and one without any posting, count as zero."""
+    gap = jobs.filter("external_id IN ('1', '2')").withColumn(
+        "date_posted", F.when(F.col("external_id") == "1", F.lit("2024-01-03")).otherwise(F.lit("2024-01-17")).cast("timestamp_ntz")
+    ).withColumn("skills", F.array(F.lit("sql")))
+    assert rows(market.skill_trend(gap)) == [
+        ("sql", date(2024, 1, 1), 1, 100.0, None, 1),
+        ("sql", date(2024, 1, 8), 0, None, -1, 1),
+        ("sql", date(2024, 1, 15), 1, 100.0, 1, 1),
     ]
 
 
