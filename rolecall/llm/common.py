@@ -27,6 +27,14 @@ def texts_of(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [t or b"" for t in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """`name`, with as many underscores before it as keep it apart from all columns of `docs`."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` computed once, however often `body` uses it."""
     return F.transform(F.array(value), body)[0]

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rolecall.llm.common import texts_of, written
+from rolecall.llm.common import free, texts_of, written
 
 # ASCII punctuation and controls separate words; other code points belong to them.
 _SPACES = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -385,6 +385,9 @@ def find_items(
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """`docs` without the rows of documents that hold an item. Rows with a NULL doc_id go if
-    any such row holds one."""
-    found = find_items(docs, items, **options).select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_anti").select(*docs.columns)
+    any such row holds one, and so do rows that share a doc_id with one that does. NULL and
+    empty texts hold none; repeated rows all stay or all go; without items all stay; no rows
+    give none. Other columns, whatever their names, are kept."""
+    doc = free(docs, "_doc")
+    found = find_items(docs, items, **options).select(F.col("doc_id").alias(doc)).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col(doc)), "left_anti")

@@ -250,7 +250,9 @@ def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000) -> Model:
     """Fit on labels outside the held-out fold, at most `max_labels` of them (the smallest
-    hashes of doc_id). A doc_id with several labels counts as good if half of them are."""
+    hashes of doc_id). A doc_id with several labels counts as good if half of them are. NULL
+    and empty texts have a zero vector; NULL labels and ids without a document teach nothing;
+    repeated documents count each; without two kinds of labels the model is constant."""
     spark = docs.sparkSession
     vectors = word_vectors(docs)
     shared = spark.sparkContext.broadcast(vectors)

@@ -16,7 +16,7 @@ from re import _constants as sre, _parser as parser
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rolecall.llm.common import let
+from rolecall.llm.common import free, let
 
 
 @dataclass(frozen=True)
@@ -241,11 +241,15 @@ def find_secrets(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
 
 
 def redact(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
-    """`docs` with every secret replaced by its kind in angle brackets, n_chars kept right."""
+    """`docs` with every secret replaced by its kind in angle brackets, n_chars kept right.
+
+    Of spans that overlap, the first one counts. NULL and empty texts, and texts without
+    secrets, stay as they are; a NULL doc_id stays NULL; repeated rows are redacted each; no
+    rows give none. Other columns, whatever their names, are kept.
+    """
     found = find_secrets(docs, rules).filter(F.size("spans") > 0).dropDuplicates(["doc_id", "text_key"])
-    found = found.select(
-        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("spans").alias("_spans")
-    )
+    doc, key, own, cut = (free(docs, n) for n in ("_doc", "_key", "_spans", "_cut"))
+    found = found.select(F.col("doc_id").alias(doc), F.col("text_key").alias(key), F.col("spans").alias(own))
     text = F.col("text")
 
     def step(acc: Column, s: Column) -> Column:
@@ -257,17 +261,17 @@ def redact(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     clean = F.aggregate(
-        "_spans", start, step,
+        own, start, step,
         lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.char_length(text))),
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_key"))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(key))
     joined = docs.join(found, same, "left")
-    kept = F.when(F.col("_spans").isNull(), text).otherwise(clean)
-    columns = [kept.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    out = joined.select(*columns, F.col("_spans").isNotNull().alias("_cut"))
+    kept = F.when(F.col(own).isNull(), text).otherwise(clean)
+    columns = [kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    out = joined.select(*columns, F.col(own).isNotNull().alias(cut))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut"), F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col(cut), F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.drop(cut)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rolecall.llm.common import groups, texts_of, written
+from rolecall.llm.common import free, groups, texts_of, written
 from rolecall.llm.components import components
 
 BITS = 64
@@ -194,11 +194,12 @@ def keep_first(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFram
     hash; of rows with that text, any one. NULL ids count as the largest.
     """
     prints, named = _grouped(docs, shingle, distance)
+    doc, key, text = (free(docs, n) for n in ("_doc", "_key", "_text"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     first = prints.groupBy("fingerprint").agg(F.min(order).alias("row")).join(named, "fingerprint")
     first = first.groupBy("root").agg(F.min("row").alias("row")).select(
-        F.col("row.doc_id").alias("_doc"), F.col("row.text_key").alias("_text")
+        F.col("row.doc_id").alias(doc), F.col("row.text_key").alias(text)
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text"))
-    kept = docs.withColumn("_key", _key(docs)).join(first, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(text))
+    kept = docs.withColumn(key, _key(docs)).join(first, same, "left_semi")
+    return kept.dropDuplicates(["doc_id", key]).drop(key)

@@ -1,0 +1,47 @@
+"""Columns that have the names operators use inside."""
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from rolecall.llm import align, chat, decontam, ngram, quality, repeats, resample, rules, secrets, simhash
+from rolecall.llm.queries import PIECES, TOKENIZER
+
+SF_DIR = "/root/testdata/sf0.001"
+NAMES = (
+    "_doc _key _text _spans _cut _score __doc score n_words found size spans candidate text_key kinds words bucket block row "
+    "pairs times range place part position head left right at hot n window window_id rank"
+).split()
+
+
+def test_every_stage_keeps_all_columns(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    more = docs.select("*", *[F.lit(i).alias(n) for i, n in enumerate(NAMES)])
+    for name, stage in corpus_pipeline.STAGES:
+        plain, clashing = stage(spark, docs, SF_DIR), stage(spark, more, SF_DIR)
+        if name == "packing":
+            assert clashing.columns == plain.columns and clashing.count() == plain.count()
+        else:
+            assert clashing.columns == more.columns
+            rows = clashing.select(*docs.columns).collect()
+            assert sorted(rows, key=str) == sorted(plain.collect(), key=str)
+            first = clashing.select(*NAMES).distinct().collect()
+            assert [tuple(r) for r in first] == [tuple(range(len(NAMES)))]
+
+
+def test_operators_do_not_read_them(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").filter("doc_id < 30")
+    more = docs.select("*", *[F.lit(i).alias(n) for i, n in enumerate(NAMES)])
+    items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    for run in (
+        secrets.find_secrets, lambda d: decontam.find_items(d, items), simhash.near_duplicates, repeats.repeated_spans,
+        lambda d: quality.classify(d, labels), ngram.score, rules.quality_rules, lambda d: resample.resample(d, items),
+        lambda d: align.link_counts(d, TOKENIZER, PIECES),
+    ):
+        assert sorted(run(more).collect(), key=str) == sorted(run(docs).collect(), key=str)
+
+
+def test_chat(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/conversations.parquet")
+    more = rows.select("*", *[F.lit(i).alias(n) for i, n in enumerate(["_conv", "part", "turns", "speaker", "position", "_range", "start"])])
+    assert sorted(chat.rotate(more).collect(), key=str) == sorted(chat.rotate(rows).collect(), key=str)
