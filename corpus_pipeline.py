@@ -1,7 +1,9 @@
 """The training-data pipeline: documents, stage by stage, into packed token sequences.
 
 Each stage works on all that the one before it kept, written as Parquet and read again.
-All but the last return the columns of `documents`.
+All but the last return the columns of `documents`, whatever further columns there are. A
+NULL text counts as empty, NULL ids stay, and no rows give none; each stage says what else it
+makes of NULLs, ties and repeated rows.
 """
 
 from __future__ import annotations
@@ -10,35 +12,38 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rolecall.llm import decontam, packing, quality, secrets, simhash
-from rolecall.llm.common import table, written
+from rolecall.llm.common import free, table, written
 
 THRESHOLD = 0.7
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on these documents, does not reject."""
+    """Documents that the classifier, trained on these documents, does not reject. Each row is
+    judged by its text alone, so rows that repeat all stay or all go."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, "_score")
-    return scored.filter(F.col("_score") >= THRESHOLD).select(*docs.columns)
+    score = free(docs, "_score")
+    return quality.score(docs, model, score).filter(F.col(score) >= THRESHOLD).drop(score)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: that of the smallest doc_id, a NULL one
+    counting as the largest. Texts without words are one group; repeated rows are near duplicates."""
     return simhash.keep_first(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Rows that share a doc_id stay or go together."""
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced by their kind."""
+    """All documents, with secrets replaced by their kind and n_chars kept right."""
     return secrets.redact(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, with their token ids, in sequences of 1024."""
+    """Pieces of all documents, with their token ids, in sequences of 1024. Repeated rows are
+    packed each; an empty text is its end mark alone."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
