@@ -34,6 +34,36 @@ def test_watched_terms(spark, shared):
     assert names(WatchedTerms(spark, f"{shared}/watched")) == []
 
 
+def test_two_writers_of_watched_terms(spark, shared, monkeypatch):
+    """Changes that start from the same list, one inside the other."""
+    terms, other = (WatchedTerms(spark, f"{shared}/watched") for _ in range(2))
+    terms.add("a", "b", created_at=AT)
+
+    def meanwhile(change):
+        append = WatchedTerms._append
+
+        def first_other(self, *args):
+            monkeypatch.setattr(WatchedTerms, "_append", append)
+            change()
+            append(self, *args)
+
+        monkeypatch.setattr(WatchedTerms, "_append", first_other)
+
+    meanwhile(lambda: other.add("c", "d", created_at=AT))
+    assert terms.add("d", "e", created_at=LATER) == ["d", "e"]
+    found = {r.keyword: r.created_at for r in terms.read().collect()}
+    assert found == {"a": AT, "b": AT, "c": AT, "d": AT, "e": LATER}
+    meanwhile(lambda: other.remove("a"))
+    assert terms.remove("b") == ["b"]
+    assert names(terms) == ["c", "d", "e"]
+    assert terms.add("a", created_at=LATER) == ["a"]
+    assert terms.remove("c", "a") == ["a", "c"]
+    meanwhile(lambda: other.remove("d", min_terms=1))
+    with pytest.raises(ValueError, match="at least 1"):
+        terms.remove("e", min_terms=1)
+    assert names(terms) == ["e"]
+
+
 def test_daily(spark, shared):
     store = PostingStore(spark, f"{shared}/store", buckets=2)
     terms = WatchedTerms(spark, f"{shared}/watched")

@@ -14,6 +14,7 @@ from rolecall.operators import (
     flatten_postings,
     split_rejected,
 )
+from rolecall.plans.ingest import prepare
 from rolecall.schemas import PAGE
 from rolecall.sources import read_pages
 
@@ -135,6 +136,27 @@ def test_no_window_over_a_run(spark):
     assert windows and all(w.split(" ASC")[0].count(",") >= 3 for w in windows)
 
 
+def test_a_hot_run_is_dealt(spark):
+    """Without broadcasts and adaptive changes, no task gets most of the rows of one run."""
+    plain = {"autoBroadcastJoinThreshold": "-1", "adaptive.enabled": "false", "shuffle.partitions": "16"}
+    before = {key: spark.conf.get(f"spark.sql.{key}") for key in plain}
+    try:
+        for key, value in plain.items():
+            spark.conf.set(f"spark.sql.{key}", value)
+        pages = [page("hot", n, [f"{n}-{i}" for i in range(20)] + ["same"]) for n in range(1, 201)]
+        pages += [page("cold", 1, ["x"]), page("bad", 1, ["y"]), page("bad", 2, None, error="e")]
+        rows = prepare(frame(spark, pages)).withColumn("_task", F.spark_partition_id())
+        tasks = [r["count"] for r in rows.groupBy("_task").count().collect()]
+        assert sum(tasks) == 200 * 20 + 2 and max(tasks) < 0.25 * sum(tasks)
+        got = assemble_runs(frame(spark, pages)).withColumn("_task", F.spark_partition_id())
+        tasks = [r["count"] for r in got.groupBy("_task").count().collect()]
+        assert sum(tasks) == 200 * 20 + 2 and max(tasks) < 0.25 * sum(tasks)
+        assert {r.run_id for r in got.select("run_id").distinct().collect()} == {"hot", "cold"}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(f"spark.sql.{key}", value)
+
+
 def test_rejected_lines(spark, shared):
     good = '{"run_id":"r","keyword":"k","page":%s,"landed_at":"2024-01-01T06:00:00","results":[{"id":1}]}'
     lines = [good % 1, good % '"1"', good % 2 + "}", (good % 3)[:60], good % 0, good % "null", "nonsense",
