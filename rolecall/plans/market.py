@@ -258,20 +258,50 @@ def ingestion_summary(jobs: DataFrame) -> DataFrame:
     return jobs.agg(F.count("*").alias("total"), F.max("fetched_at").alias("last_fetched"))
 
 
-def _key_figures(jobs: DataFrame) -> DataFrame:
+def company_sketches(jobs: DataFrame, *by: str, log_size: int = 12) -> DataFrame:
+    """Per group of `by` (or for all rows): `total_jobs` and `companies`, a mergeable sketch.
+
+    A sketch has 2^`log_size` places at most, whatever the number of companies, and a standard
+    error of about 1.04 / 2^(`log_size` / 2). Kept per day or per bucket, only the groups that
+    changed need a new one.
+    """
+    sketch = F.hll_sketch_agg("company", F.lit(log_size))
+    return jobs.groupBy(*by).agg(F.count("*").alias("total_jobs"), sketch.alias("companies"))
+
+
+def merge_sketches(sketches: DataFrame, *by: str) -> DataFrame:
+    """Sketches of `company_sketches` brought together by fewer columns, with their estimate.
+
+    Sketches of different sizes merge to the smallest; no sketches give no companies.
+    """
+    merged = F.hll_union_agg("companies", F.lit(True))
+    rows = sketches.groupBy(*by).agg(
+        F.coalesce(F.sum("total_jobs"), F.lit(0)).alias("total_jobs"), merged.alias("companies")
+    )
+    estimate = F.coalesce(F.hll_sketch_estimate("companies"), F.lit(0))
+    return rows.withColumn("unique_companies", estimate)
+
+
+def _key_figures(jobs: DataFrame, log_size: int | None = None) -> DataFrame:
+    companies = F.count_distinct("company")
+    if log_size is not None:
+        companies = F.hll_sketch_estimate(F.hll_sketch_agg("company", F.lit(log_size)))
     return jobs.agg(
         F.count("*").alias("total_jobs"),
         F.max("fetched_at").alias("last_updated"),
-        F.count_distinct("company").alias("unique_companies"),
+        companies.alias("unique_companies"),
         percentage(F.count_if("is_remote"), F.count("*"), 1).alias("remote_pct"),
         avg_money(F.col("salary_min")).alias("avg_salary"),
     )
 
 
-def kpis(jobs: DataFrame) -> DataFrame:
-    """Key figures; the remote share is NULL for an empty table."""
+def kpis(jobs: DataFrame, log_size: int | None = None) -> DataFrame:
+    """Key figures; the remote share is NULL for an empty table.
+
+    With `log_size`, companies are estimated (see `company_sketches`) and not shuffled.
+    """
     return (
-        _key_figures(jobs)
+        _key_figures(jobs, log_size)
         .withColumn("remote_pct", F.col("remote_pct").cast("double"))
         .withColumn("avg_salary", F.round("avg_salary", 2).cast("double"))
     )

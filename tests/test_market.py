@@ -50,6 +50,24 @@ def test_counts(jobs):
     assert rows(market.mixed_remote_companies(jobs)) == [("a", 1, 1, 3)]
 
 
+def test_estimated_companies(spark, jobs):
+    exact, estimated = rows(market.kpis(jobs)), rows(market.kpis(jobs, log_size=12))
+    assert estimated == exact  # few companies are counted as they are
+    assert rows(market.kpis(jobs.limit(0), log_size=12))[0][2] == 0
+    n = 60_000
+    many = spark.range(4 * n).select(F.concat(F.lit("c"), F.col("id") % n).alias("company"), (F.col("id") % 7).alias("day"))
+    many = many.unionByName(spark.range(9).select(F.lit(None).cast("string").alias("company"), F.col("id").alias("day")))
+    daily = market.company_sketches(many, "day", log_size=14)
+    assert daily.count() == 9
+    merged = market.merge_sketches(daily)
+    (total, companies), = rows(merged.select("total_jobs", "unique_companies"))
+    assert total == 4 * n + 9 and abs(companies - n) < 4 * 1.04 / 2**7 * n
+    # Sketches of sketches, in any grouping, give what one over all rows gives.
+    by_half = market.merge_sketches(daily.withColumn("half", F.col("day") % 2), "half")
+    assert rows(market.merge_sketches(by_half).select("unique_companies")) == [(companies,)]
+    assert rows(market.merge_sketches(daily.limit(0)).select("total_jobs", "unique_companies")) == [(0, 0)]
+
+
 def test_time(jobs):
     assert rows(market.jobs_per_day(jobs)) == [
         (date(2024, 1, 8), 2), (date(2024, 1, 7), 1), (date(2024, 1, 1), 2),
