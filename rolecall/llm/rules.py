@@ -1,17 +1,18 @@
 """Quality rules: base statistics of whole texts, and robust multivariate outliers.
 
 The statistics vector is transformed towards a normal shape; per language and source, the
-minimum covariance determinant (MCD) estimate gives its centre and spread: starting from
-medians, concentration steps recompute mean and covariance from the closest `share` of the
-rows. Rows beyond a cut-off of the Mahalanobis distance are rejected. All of it is made of
-Spark expressions and pre-aggregated groupings, so a group of any size is no single task.
+minimum covariance determinant (MCD) estimate gives its centre and spread: from several
+starts, concentration steps recompute mean and covariance from the closest `share` of the
+rows, until the determinant of the covariance stops falling; the smallest is kept. Rows
+beyond a cut-off of the Mahalanobis distance are rejected. All of it is made of Spark
+expressions and pre-aggregated groupings, so a group of any size is no single task.
 """
 
 from __future__ import annotations
 
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rolecall.llm.common import let, written
 
@@ -97,8 +98,9 @@ def chi_square(p: float, df: int) -> float:
     return df * (1 - 2 / (9 * df) + z * (2 / (9 * df)) ** 0.5) ** 3
 
 
-def _precision(moments: DataFrame, names: list[str]) -> DataFrame:
-    """Inverse of each group's covariance (columns c_i_j) as p_i_j, by its Cholesky factor."""
+def _inverse(moments: DataFrame, names: list[str]) -> DataFrame:
+    """Inverse of each row's covariance (columns c_i_j) as p_i_j, by its Cholesky factor, and
+    the logarithm of its determinant. Other columns stay."""
     k = len(names)
     rows = moments
 
@@ -118,14 +120,9 @@ def _precision(moments: DataFrame, names: list[str]) -> DataFrame:
     inverse = [
         " + ".join(f"v_{m}_{i} * v_{m}_{j}" for m in range(j, k)) + f" AS p_{i}_{j}" for i in range(k) for j in range(i, k)
     ]
-    return rows.selectExpr(*GROUP, "n", *[f"m_{i}" for i in range(k)], *inverse)
-
-
-def _with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Equal languages and sources meet, NULL with NULL. One row per group on the right."""
-    right = groups.select(*[F.col(c).alias(f"_{c}") if c in GROUP else F.col(c) for c in groups.columns])
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in GROUP]
-    return rows.join(right, same[0] & same[1]).drop(*[f"_{c}" for c in GROUP])
+    determinant = " + ".join(f"2 * ln(l_{j}_{j})" for j in range(k)) + " AS logdet"
+    kept = [f"`{c}`" for c in moments.columns if not c.startswith("c_")]
+    return rows.selectExpr(*kept, determinant, *inverse)
 
 
 def _distance(names: list[str]) -> Column:
@@ -137,59 +134,128 @@ def _distance(names: list[str]) -> Column:
 
 
 def mcd_estimates(
-    vectors: DataFrame, names: list[str], floors: list[float], share: float = 0.75, steps: int = 4, accuracy: int = 5_000
-) -> DataFrame:
-    """Per group: size `n`, centre m_i and precision p_i_j of the vector `names`.
-
-    The squared floors are added to the variances, so that a feature that hardly varies
-    cannot reject by itself. The covariance is scaled so that the median distance is that of
-    a normal distribution.
+    vectors: DataFrame, names: list[str], floors: list[float], share: float = 0.75, tolerance: float = 1e-6,
+    accuracy: int = 5_000,
+) -> DataFrame:
+    """Minimum covariance determinant of the vector `names` in each `pool` of `vectors`.
+
+    Returns pool, n (its rows), centre m_i, precision p_i_j and logdet, the logarithm of the
+    determinant before scaling. Three starts, all around the medians: deviations alone, the
+    correlations of squashed deviations, and those of directions. Each takes two concentration
+    steps (mean and covariance of the closest `share`); the start with the smallest determinant
+    goes on until its determinant stops falling, and the smallest one is kept.
+
+    The squared floors are added to the variances, so that a feature that hardly varies cannot
+    reject by itself, and a pool of any size has an estimate. The covariance is scaled so that
+    the median distance is that of a normal distribution. Distances are cut at a rank that is
+    exact up to `accuracy` rows of a pool, and off by one in `accuracy` beyond.
     """
     k = len(names)
     both = [(i, j) for i in range(k) for j in range(i, k)]
     centre = [f"m_{i}" for i in range(k)]
-
-    def per_group(rows: DataFrame, *columns: str) -> DataFrame:
-        return rows.groupBy(*GROUP).agg(*[F.expr(c) for c in columns])
+    precision = [f"p_{i}_{j}" for i, j in both]
 
     def middle(expression: str, name: str, of: float = 0.5) -> str:
         return f"percentile_approx({expression}, {of}, {accuracy}) AS {name}"
 
+    def per(rows: DataFrame, keys: list[str], *columns: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(*[F.expr(c) for c in columns])
+
     def widened(i: int, j: int, variance: str) -> str:
         return f"{variance} + {floors[i] ** 2}D AS c_{i}_{j}" if i == j else f"{variance} AS c_{i}_{j}"
 
-    median = per_group(vectors, "count(*) AS n", *[middle(a, f"m_{i}") for i, a in enumerate(names)])
-    spread = per_group(
-        _with_groups(vectors, median), "first(n) AS n", *[f"first({m}) AS {m}" for m in centre],
-        *[middle(f"abs({a} - m_{i})", f"s_{i}") for i, a in enumerate(names)],
-    )
-    variances = [widened(i, j, f"pow(1.4826D * s_{i}, 2)" if i == j else "0D") for i, j in both]
-    estimate = written(_precision(spread.selectExpr(*GROUP, "n", *centre, *variances), names))
-    for _ in range(steps):
-        near = _with_groups(vectors, estimate).select(*GROUP, "n", *names, _distance(names).alias("d2"))
-        close = _with_groups(near, per_group(near, middle("d2", "limit", share))).filter("d2 <= limit")
-        sums = per_group(
-            close, "first(n) AS n", *[f"avg({a}) AS m_{i}" for i, a in enumerate(names)],
+    def concentrate(estimates: DataFrame) -> DataFrame:
+        keys = ["pool", "start"]
+        near = vectors.join(estimates, "pool").select(*keys, "n", *names, _distance(names).alias("d2"))
+        close = near.join(per(near, keys, middle("d2", "limit", share)), keys).filter("d2 <= limit")
+        sums = per(
+            close, keys, "first(n) AS n", *[f"avg({a}) AS m_{i}" for i, a in enumerate(names)],
             *[f"covar_pop({names[i]}, {names[j]}) AS c_{i}_{j}" for i, j in both],
         )
-        variances = [widened(i, j, f"c_{i}_{j}") for i, j in both]
-        estimate = written(_precision(sums.selectExpr(*GROUP, "n", *centre, *variances), names))
-    near = _with_groups(vectors, estimate).select(*GROUP, _distance(names).alias("d2"))
+        moments = sums.selectExpr(*keys, "n", *centre, *[widened(i, j, f"c_{i}_{j}") for i, j in both])
+        return written(_inverse(moments, names))
+
+    median = per(vectors, ["pool"], "count(*) AS n", *[middle(a, f"m_{i}") for i, a in enumerate(names)])
+    spread = per(
+        vectors.join(median, "pool"), ["pool"], "first(n) AS n", *[f"first({m}) AS {m}" for m in centre],
+        *["1.4826D * " + middle(f"abs({a} - m_{i})", f"s_{i}") for i, a in enumerate(names)],
+    )
+    spread = written(spread)
+    scaled = [f"({a} - m_{i}) / sqrt(s_{i} * s_{i} + {floors[i] ** 2}D) AS z_{i}" for i, a in enumerate(names)]
+    z = vectors.join(spread, "pool").selectExpr("pool", *scaled)
+    z = z.selectExpr("*", "sqrt(" + " + ".join(f"z_{i} * z_{i}" for i in range(k)) + ") AS far")
+    size = "greatest(far, 1e-9D)"
+    likeness = per(
+        z, ["pool"], *[f"covar_pop(tanh(z_{i}), tanh(z_{j})) AS a_{i}_{j}" for i, j in both],
+        *[f"avg(z_{i} * z_{j} / ({size} * {size})) AS b_{i}_{j}" for i, j in both],
+    )
+
+    def start(name: str, of: str) -> DataFrame:
+        def correlation(i: int, j: int) -> str:  # none with a feature that does not vary
+            return f"coalesce({of}_{i}_{j} / nullif(sqrt({of}_{i}_{i} * {of}_{j}_{j}), 0D), 0D)" if of else "0D"
+
+        cells = [widened(i, j, f"s_{i} * s_{j}" + ("" if i == j else f" * {correlation(i, j)}")) for i, j in both]
+        return known.selectExpr("pool", f"'{name}' AS start", "n", *centre, *cells)
+
+    known = written(spread.join(likeness, "pool"))
+    starts = start("alone", "").unionByName(start("squashed", "a")).unionByName(start("directions", "b"))
+    tried = concentrate(concentrate(written(_inverse(starts, names))))
+    columns = ["pool", "start", "n", *centre, "logdet", *precision]
+    smallest = Window.partitionBy("pool").orderBy("logdet", "start")
+    best = tried.withColumn("_place", F.row_number().over(smallest)).filter("_place = 1").select(*columns)
+    best = written(best.withColumn("falls", F.lit(True)))
+    # Every further step lowers a determinant that the floors bound from below.
+    while not best.filter("falls").isEmpty():
+        after = concentrate(best.filter("falls").drop("falls", "logdet")).withColumn("_after", F.struct(*columns))
+        joined = best.join(after.select("pool", "_after"), "pool", "left")
+        lower = F.coalesce(F.col("_after.logdet") < F.col("logdet") - tolerance, F.lit(False))
+        kept = [F.when(lower, F.col(f"_after.{c}")).otherwise(F.col(c)).alias(c) for c in columns]
+        best = written(joined.select(*kept, lower.alias("falls")))
+    near = vectors.join(best, "pool").select("pool", _distance(names).alias("d2"))
     usual = chi_square(0.5, k)
-    scaled = _with_groups(estimate, per_group(near, middle("d2", "usual")))
+    found = best.join(per(near, ["pool"], middle("d2", "usual")), "pool")
     scale = f"greatest(usual / {usual}D, 1D)"
-    return scaled.selectExpr(*GROUP, "n", *centre, *[f"p_{i}_{j} / {scale} AS p_{i}_{j}" for i, j in both])
+    return found.selectExpr("pool", "n", "logdet", *centre, *[f"{p} / {scale} AS {p}" for p in precision])
+
+
+def _pool(*parts: str) -> str:
+    """Name of a pool; a NULL language or source is left out of it, unlike any text."""
+    fields = ", ".join(f"'{p}', {p}" for p in parts)
+    return f"concat('{len(parts)}', to_json(named_struct({fields})))" if parts else "'0'"
+
+
+def _with_pools(sound: DataFrame, least_rows: int) -> DataFrame:
+    """lang, source, `pool` by which the group is judged, and `pools` that its rows are in.
+
+    A group of `least_rows` rows is its own pool. A smaller one is judged by all rows of its
+    language, or of the table where these are too few as well.
+    """
+    groups = written(sound.groupBy(*GROUP).agg(F.count("*").alias("n")))
+    langs = groups.groupBy("lang").agg(F.sum("n").alias("n_lang"), F.min("n").alias("least")).select(
+        F.col("lang").alias("_lang"), "n_lang", "least"
+    )
+    rows = groups.join(langs, F.col("lang").eqNullSafe(F.col("_lang")))
+    small, few = f"n < {least_rows}", f"n_lang < {least_rows}"
+    rows = written(rows.selectExpr(
+        *GROUP,
+        f"CASE WHEN NOT {small} THEN {_pool(*GROUP)} WHEN NOT {few} THEN {_pool('lang')} ELSE {_pool()} END AS pool",
+        f"least < {least_rows} AND NOT {few} AS shared",
+    ))
+    needs_all = not rows.filter(F.col("pool") == F.expr(_pool())).isEmpty()
+    members = f"array(pool, IF(shared, {_pool('lang')}, pool){', ' + _pool() if needs_all else ''})"
+    return rows.selectExpr(*GROUP, "pool", f"array_distinct({members}) AS pools")
 
 
 def quality_rules(docs: DataFrame, level: float = 1 - 1e-7, least_rows: int = 20) -> DataFrame:
     """Statistics and verdict for every row of `docs` (doc_id, text, lang, source).
 
-    Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, distance
-    (squared Mahalanobis), base_failed, kept. Rows that fail the base rules take no part in
-    the estimates. Groups of fewer than `least_rows` such rows, and empty groups, reject
-    nobody beyond the base rules. NULL text counts as empty (and fails the base rules);
-    NULL languages and sources are groups of their own; repeated rows stay; no rows give
-    none. Other columns are not read.
+    Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    kept, distance (squared Mahalanobis). Rows that fail the base rules take no part in
+    the estimates. A language and source with fewer than `least_rows` other rows is judged by
+    all rows of the language, or of the table where these are too few, too; where every row
+    of a group fails the base rules, `distance` is NULL. NULL text counts as empty (and fails
+    the base rules); NULL languages and sources are groups of their own; repeated rows stay;
+    no rows give none. Other columns are not read.
     """
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     vector = features()
@@ -197,11 +263,14 @@ def quality_rules(docs: DataFrame, level: float = 1 - 1e-7, least_rows: int = 20
     rows = text_statistics(docs).withColumn("base_failed", failed).withColumns(vector)
     rows = written(rows)
     sound = rows.filter("NOT base_failed").select(*GROUP, *names)
-    estimates = mcd_estimates(sound, names, [FLOORS[n] for n in names]).filter(F.col("n") >= least_rows)
-    right = estimates.select(*[F.col(c).alias(f"_{c}") if c in GROUP else F.col(c) for c in estimates.columns])
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in GROUP]
+    pools = written(_with_pools(sound, least_rows).selectExpr("lang AS _lang", "source AS _source", "pool", "pools"))
+    same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
+    vectors = written(sound.join(pools, same).select(F.explode("pools").alias("pool"), *names))
+    estimates = mcd_estimates(vectors, names, [FLOORS[n] for n in names])
+    # Few small rows: one per language and source.
+    judged = written(pools.join(estimates, "pool").drop("pools"))
+    near = rows.join(judged, same, "left").withColumn("distance", _distance(names))
     cutoff = chi_square(level, len(names))
-    near = rows.join(right, same[0] & same[1], "left").withColumn("distance", _distance(names))
     return near.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"),
