@@ -1,18 +1,17 @@
 """WARC archives without repeated payloads.
 
 Headers (page, payload digest) are shuffled by digest to choose the original response of
-each payload; every other page with that payload becomes a revisit record that refers to it.
-Records are written by Spark's own text writer, whose line separator is the blank line that
-ends a WARC record, so archives land wherever Spark can write, in gzip. They are read back as
-whole files, of at most `records_per_file` records, and revisits are joined to their
-responses by record id.
+each payload; every other page with that payload becomes a revisit record that refers to it,
+made from its header alone. Payloads meet nothing but the list of revisits, by digest and
+page, so that equal payloads do not gather in one task. Records are written by Spark's own
+text writer, whose line separator is the blank line that ends a WARC record, so archives land
+wherever Spark can write, in gzip. They are read back piece by piece between such blank
+lines, a record at a time, and revisits are joined to their responses by record id.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
-import io
 import re
 import uuid
 from base64 import b32encode
@@ -21,6 +20,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rolecall.llm.common import written
+
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -34,7 +35,7 @@ def record_id(page_id: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
 
 
-def record(page_id: int | None, url: str | None, html: str, digest: str, original: int | None, revisit: bool, date: str) -> str:
+def record(page_id: int | None, url: str | None, html: str | None, digest: str, original: int | None, revisit: bool, date: str) -> str:
     """One record without the blank line at its end."""
     body = HTTP + ("" if revisit else html)
     headers = [
@@ -55,17 +56,28 @@ def record(page_id: int | None, url: str | None, html: str, digest: str, origina
 
 
 def resolve(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """page_id, url, html, digest (hex), original (page_id of the response), revisit."""
+    """page_id, url, html, digest (hex), original (page_id of the response), revisit.
+
+    `html` is NULL for revisits.
+    """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     ).withColumn("digest", F.sha1("html"))
-    headers = rows.filter(F.octet_length("html") >= least_bytes).select("digest", "page_id")
-    # One narrow row per digest that occurs more than once.
-    originals = headers.groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("n"))
-    originals = originals.filter("n > 1 AND original IS NOT NULL").drop("n")
-    revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original"))
-    return rows.join(originals, "digest", "left").withColumn("revisit", revisit)
+    headers = written(rows.select("page_id", "url", "digest", (F.octet_length("html") >= least_bytes).alias("counts")))
+    originals = headers.filter("counts").groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("n"))
+    # Written, so that the join is between two scans and a digest of many pages can be split.
+    originals = written(originals.filter("n > 1 AND original IS NOT NULL").drop("n"))
+    again = ~F.col("page_id").eqNullSafe(F.col("original"))
+    revisits = written(headers.join(originals, "digest").filter(again).select("page_id", "url", "digest", "original"))
+    taken = revisits.select(F.col("digest").alias("_digest"), F.col("page_id").alias("_page_id")).distinct()
+    same = (F.col("digest") == F.col("_digest")) & F.col("page_id").eqNullSafe(F.col("_page_id"))
+    responses = rows.join(taken, same, "left_anti").select(
+        "page_id", "url", "html", "digest", F.lit(None).cast("long").alias("original"), F.lit(False).alias("revisit")
+    )
+    return responses.unionByName(
+        revisits.withColumn("html", F.lit(None).cast("string")).withColumn("revisit", F.lit(True))
+    )
 
 
 def write_archives(
@@ -94,56 +106,85 @@ def write_archives(
     writer.option("maxRecordsPerFile", records_per_file).text(path)
 
 
-def parse(content: bytes) -> Iterator[tuple]:
-    """(headers, body) of each record of one gzipped archive."""
-    with gzip.open(io.BytesIO(content)) as file:
-        while line := file.readline():
-            if line != b"WARC/1.1\r\n":
-                raise ValueError(f"not a WARC record: {line[:40]!r}")
-            headers = {}
-            while (line := file.readline()) != b"\r\n":
-                name, _, value = line.decode().rstrip("\r\n").partition(": ")
-                headers[name] = value
-            body = file.read(int(headers["Content-Length"]))
-            if file.read(len(END)) != END.encode():
-                raise ValueError(f"record {headers['WARC-Record-ID']} has no end")
+class Records:
+    """Takes the bytes of one archive as they come and gives its records as (headers, body)."""
+
+    def __init__(self):
+        self.rest = bytearray()
+        self.headers: dict[str, str] | None = None
+        self.need = 0
+
+    def take(self, piece: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+        self.rest += piece
+        while True:
+            if self.headers is None:
+                end = self.rest.find(END.encode())
+                if end <= 0:  # no record begins with a blank line: see `close`
+                    return
+                version, *lines = self.rest[:end].decode().split("\r\n")
+                if version != "WARC/1.1":
+                    raise ValueError(f"not a WARC record: {version[:40]!r}")
+                self.headers = dict(line.split(": ", 1) for line in lines)
+                self.need = int(self.headers["Content-Length"])
+                del self.rest[: end + len(END)]
+            if len(self.rest) < self.need + len(END):
+                return
+            body = bytes(self.rest[: self.need])
+            if self.rest[self.need : self.need + len(END)] != END.encode():
+                raise ValueError(f"record {self.headers['WARC-Record-ID']} has no end")
+            del self.rest[: self.need + len(END)]
+            headers, self.headers = self.headers, None
             yield headers, body
 
+    def close(self) -> None:
+        # The last piece of a file may bring a blank line too many.
+        if self.headers is not None or self.rest not in (b"", END.encode()):
+            raise ValueError("an archive ends within a record")
+
 
 def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """The records below `path` as they are. `payload` is NULL for revisits, and throughout
-    without `payloads`."""
-
-    def rows(content: bytes) -> Iterator[tuple]:
-        for h, body in parse(content):
-            payload = body.partition(b"\r\n\r\n")[2]
-            digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
-            own = h["WARC-Type"] == "response"
-            if own and b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-                raise ValueError(f"record {h['WARC-Record-ID']} has another payload than its digest says")
-            yield (
-                int(h["Page-Id"]) if "Page-Id" in h else None, h.get("WARC-Target-URI"), h["WARC-Record-ID"],
-                h["WARC-Type"], digest, len(payload) if own else None, h.get("WARC-Refers-To"),
-                payload.decode() if own and payloads else None,
-            )
+    without `payloads`. A task holds one record at a time, whatever the size of a file."""
+
+    def row(h: dict[str, str], body: bytes) -> tuple:
+        payload = body.partition(b"\r\n\r\n")[2]
+        digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
+        own = h["WARC-Type"] == "response"
+        if own and b32encode(hashlib.sha1(payload).digest()).decode() != digest:
+            raise ValueError(f"record {h['WARC-Record-ID']} has another payload than its digest says")
+        return (
+            int(h["Page-Id"]) if "Page-Id" in h else None, h.get("WARC-Target-URI"), h["WARC-Record-ID"],
+            h["WARC-Type"], digest, len(payload) if own else None, h.get("WARC-Refers-To"),
+            payload.decode() if own and payloads else None,
+        )
 
     types = [pa.int64(), *[pa.string()] * 4, pa.int64(), *[pa.string()] * 2]
     names = [f.split()[0] for f in RECORD.split(", ")]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, records = None, Records()
         for batch in batches:
-            for content in batch.column("content"):
-                columns = list(zip(*rows(content.as_py()))) or [[]] * len(names)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("content").mapInArrow(work, RECORD)
+            found = []
+            pieces = batch.column("value").cast(pa.binary())
+            for name, piece in zip(batch.column("file").to_pylist(), pieces):
+                if name != file:
+                    records.close()
+                    file, records = name, Records()
+                found += [row(h, body) for h, body in records.take(piece.as_py() + END.encode())]
+            columns = list(zip(*found)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+        records.close()
+
+    # A gzip file is read by one task, in its order.
+    files = spark.read.option("lineSep", END).option("pathGlobFilter", "part-*.gz").text(path)
+    return files.select("value", F.input_file_name().alias("file")).mapInArrow(work, RECORD)
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Records with revisits resolved: payload_bytes and payload of the response, and
     `refers_to`, its page_id."""
     records = read_records(spark, path, payloads)
+    # Rows that repeat a page repeat its record; their payloads are the same.
     responses = records.filter("record_type = 'response'").dropDuplicates(["record_id"])
     responses = responses.select(
         F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"),

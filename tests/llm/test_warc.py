@@ -4,7 +4,7 @@ import hashlib
 
 import pytest
 
-from rolecall.llm.warc import read_archives, read_records, write_archives
+from rolecall.llm.warc import END, Records, read_archives, read_records, record, resolve, write_archives
 
 SCHEMA = "page_id long, url string, html string, digest string, original long"
 
@@ -62,3 +62,48 @@ def test_sample_and_files(spark, shared, tmp_path):
 def test_no_rows(spark, shared):
     write_archives(spark.createDataFrame([], SCHEMA), shared)
     assert read_archives(spark, shared).count() == 0
+
+
+def test_payloads_that_look_like_ends(spark, shared):
+    texts = ["\r\n", "\r\n\r\n", "a\r\n", "\r\n\r\n\r\n", "\r", "a\r\n\r", "\n\r\n\r\nb", "\r\n\r", "", "\r\r\n\r\n"]
+    rows = [(i, "u", h) for i, h in enumerate(texts * 2)]
+    write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), shared, records_per_file=3)
+    got = read_archives(spark, shared).collect()
+    assert facts(got) == sorted(expected(rows), key=str)
+    assert {r.page_id: r.payload for r in got} == {i: h for i, _, h in rows}
+
+
+def test_records_in_any_pieces():
+    made = [record(i, None, h, "D", 9, r, "2024") for i, (h, r) in enumerate([("a\r\n\r\n", False), (None, True), ("é", False)])]
+    stream = "".join(m + END for m in made).encode()
+    for size in (1, 3, 7, len(stream)):
+        records, found = Records(), []
+        for i in range(0, len(stream), size):
+            found += records.take(stream[i : i + size])
+        records.close()
+        assert [h["Page-Id"] for h, _ in found] == ["0", "1", "2"]
+        assert [b.partition(b"\r\n\r\n")[2].decode() for _, b in found] == ["a\r\n\r\n", "", "é"]
+    with pytest.raises(ValueError, match="within a record"):
+        cut = Records()
+        list(cut.take(stream[:-9]))
+        cut.close()
+    with pytest.raises(ValueError, match="not a WARC"):
+        list(Records().take(b"HTTP/1.1 200 OK\r\n\r\n"))
+
+
+def test_payloads_stay_out_of_the_shuffle_by_digest(spark):
+    """A payload of many pages: its texts do not meet in one task, and revisits carry none."""
+    before = {key: spark.conf.get(key) for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for key, value in zip(before, ("-1", "false")):
+            spark.conf.set(key, value)
+        rows = resolve(spark.range(2_000).selectExpr("id AS page_id", "'u' AS url", "IF(id < 1500, 'hot', string(id)) AS html"))
+        found = rows.collect()
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(r.revisit for r in found) == 1_499 == sum(r.html is None for r in found)
+    assert {r.original for r in found if r.revisit} == {1_499}
+    shuffles = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert shuffles and all("page_id" in line for line in shuffles)
