@@ -120,8 +120,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str, least: int = 10_000, most: int = 10_000_000) -> DataFrame:
+    """Rows of a small file, dealt over all cores: its one row group would be one task.
+
+    A larger file has row groups enough, and is read as it lies.
+    """
+    small = least < rows.count() < most
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key) if small else rows
+
+
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {n: table(spark, sf_dir, n) for n in ("orders", "customer", "nation")}
+    tables["orders"] = spread(tables["orders"], "o_orderkey")
     return spark.sql(RAW, **tables)
 
 
