@@ -215,7 +215,7 @@ def repeated_spans(docs: DataFrame, least_words: int = 50, reach: int = 16, larg
             ):
                 words = text.split()
                 merged: list[list[int]] = [[0, len(words)]] if copies > 1 else []
-                for p in parts:
+                for p in parts or []:
                     if merged and p["start"] <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], p["stop"])
                     else:
@@ -227,6 +227,7 @@ def repeated_spans(docs: DataFrame, least_words: int = 50, reach: int = 16, larg
             types = [pa.int64(), pa.int32(), pa.int32(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["text_key", "start", "n_words", "text"])
 
-    whole = holding.select("text_key", "text", "copies").join(of_text, "text_key")
+    # A text that repeats in its own copies alone has no spans, and is a passage all the same.
+    whole = holding.select("text_key", "text", "copies").join(of_text, "text_key", "left").filter("copies > 1 OR spans IS NOT NULL")
     passages = whole.mapInArrow(merge, "text_key long, start int, n_words int, text string")
     return rows.select("doc_id", "text_key").join(passages, "text_key").select("doc_id", "start", "n_words", "text")

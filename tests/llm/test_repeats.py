@@ -90,6 +90,14 @@ def test_short_repeats_side_by_side_are_none(documents, largest_run):
     assert repeated_spans(documents([" ".join(r) for r in rows]), largest_run=largest_run).count() == 0
 
 
+@pytest.mark.parametrize("largest_run", [20_000, 3])
+def test_copies_that_share_nothing_with_other_texts(documents, largest_run):
+    rng = random.Random(8)
+    one, few, alone = (" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n)) for n in (50, 49, 90))
+    got = repeated_spans(documents([one, few, one, alone, few, one]), largest_run=largest_run).collect()
+    assert sorted(map(tuple, got)) == [(i, 0, 50, one) for i in (0, 2, 5)]
+
+
 def test_nothing(documents, spark):
     assert repeated_spans(documents([None, "", "a b c", "word " * 49])).count() == 0
     assert repeated_spans(documents(["a"]).limit(0)).count() == 0
