@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from rolecall.llm.chunks import Chunks, Grown, byte_level, gather, sliced, split, vocabulary
+from rolecall.llm.common import Kept
 
 ID_BYTES = 4
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#$%&*|]+)?").fullmatch
@@ -150,12 +150,6 @@ class Words(Chunks):
         return ends[bounds], room[gather(starts, counts)]
 
 
-@lru_cache(maxsize=1)
-def word_cache(tokenizer_file: str) -> Words:
-    """The cache of a Python worker, which serves one task after the other."""
-    return Words(tokenizer_file)
-
-
 def harmonic_cut(length: int, capacity: int, least: int) -> list[int]:
     """Cut a length into whole sequences, then exact class sizes, then what is at most `least`."""
     sizes = [capacity] * (length // capacity)
@@ -232,8 +226,10 @@ def pack(
     tokenizer file must be at the same path on every machine.
     """
 
+    kept = docs.sparkSession.sparkContext.broadcast(Kept(Words, tokenizer_file))  # one cache for a worker's tasks
+
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache(tokenizer_file)
+        cache = kept.value.get()
         worker = Worker(capacity, least, TaskContext.get().partitionId() << 33)
         end = end_id.to_bytes(ID_BYTES, "little")
 

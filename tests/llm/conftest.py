@@ -1,3 +1,7 @@
+import gc
+import time
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -31,3 +35,19 @@ def sample(spark):
     """All documents of the smallest data set, as rows in Python too."""
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     return rows, [(r.doc_id, r.text) for r in rows.select("doc_id", "text").collect()]
+
+
+@pytest.fixture(scope="session")
+def alive(spark):
+    """Counts the objects of a class's name that the Python workers hold while later steps run."""
+
+    def count(name):
+        def work(batches):
+            rows = sum(b.num_rows for b in batches)
+            time.sleep(rows)  # so that each task has a worker of its own
+            gc.collect()
+            yield pa.RecordBatch.from_arrays([pa.array([sum(type(x).__name__ == name for x in gc.get_objects())])], ["n"])
+
+        return sum(r.n for r in spark.range(0, 8, 1, 8).mapInArrow(work, "n long").collect())
+
+    return count

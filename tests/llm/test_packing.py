@@ -82,3 +82,9 @@ def test_cut(length):
     sizes = harmonic_cut(length, 1024, 32)
     assert sum(sizes) == length
     assert all(s == 1024 // (1024 // s) or s <= 32 for s in sizes)
+
+
+def test_cache_goes_with_the_step(documents, alive):
+    """The workers that packed hold no words any more when they work on something else."""
+    assert pack(documents(["some words"] * 9), FILE).count() > 0
+    assert alive("Words") == 0
