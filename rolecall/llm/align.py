@@ -15,8 +15,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from rolecall.llm.chunks import ODD, Chunks, Grown, gather, sliced, split, sums, vocabulary
-from rolecall.llm.common import written
+from rolecall.llm.common import Kept, written
 
 SPACE = "▁"
 _BYTE = re.compile("<0x([0-9A-F]{2})>").fullmatch
 _BEFORE_SPACES = re.compile(r"(?<=\S)(?= +[^ ])")
+_SPAN = attrgetter("id", "begin", "end")
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 ALIGNED = (
     "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
@@ -78,6 +79,7 @@ class Aligner(Chunks):
 
         self.a = Tokenizer.from_file(file_a)
         self.a.encode_special_tokens = True  # their names in a text are plain text
+        self.a.model._resize_cache(0)  # of no use for chunks that come once
         self.b = SentencePieceProcessor(model_file=file_b)
         self.bytes_a, self.bytes_b = vocabulary(self.a), []
         self.n_b = self.b.get_piece_size()
@@ -95,6 +97,26 @@ class Aligner(Chunks):
         self.sizes = [Grown(np.int64) for _ in range(5)]
         self.groups: list[str] = []
         self.pairs, self.starts = Grown(np.int64), Grown(np.int64)
+        self.used = np.zeros(0, np.int64)  # how often each chunk was asked for, halved at each `shrink`
+
+    def places(self, chunks: list[str]) -> np.ndarray:
+        place = super().places(chunks)
+        self.used = np.append(self.used, np.zeros(len(self.known) - len(self.used), np.int64))
+        self.used[place] += 1
+        return place
+
+    def shrink(self) -> None:
+        """Keep the chunks most asked for, the newer of equal ones, up to half of the limit."""
+        names, groups, used, starts, pairs = list(self.known), self.groups, self.used, self.starts.values, self.pairs.values
+        sizes = [s.values for s in self.sizes]
+        cost = 50 + 8 * sizes[3] + np.fromiter(map(len, names), np.int64, len(names)) + np.fromiter(map(len, groups), np.int64, len(groups))
+        order = np.lexsort((np.arange(len(names)), used))[::-1]
+        kept = np.sort(order[np.cumsum(cost[order]) <= self.limit // 2])
+        self.clear()
+        self.known = {names[p]: i for i, p in enumerate(kept.tolist())}
+        counts = sizes[3][kept]
+        self._add(np.stack([s[kept] for s in sizes], axis=1), [groups[p] for p in kept.tolist()], pairs[gather(starts[kept], counts)], np.cumsum(counts) - counts)
+        self.used, self.held = used[kept] // 2, int(cost[kept].sum())
 
     def tokens_a(self, text: str, first_byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, byte ends). first_byte: of each character of the text, and its end."""
@@ -106,7 +128,7 @@ class Aligner(Chunks):
     def tokens_b(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(ids, byte ends). B puts the space in front of the text itself."""
         pieces = self.b.encode(text[1:], return_type="proto").pieces
-        spans = np.array([x for p in pieces for x in (p.id, p.begin, p.end)], np.int64).reshape(-1, 3)
+        spans = np.fromiter(chain.from_iterable(map(_SPAN, pieces)), np.int64, 3 * len(pieces)).reshape(-1, 3)
         ids, spans = spans[:, 0], spans[:, 1:] + 1
         if len(ids):
             spans[0, 0] = 0
@@ -189,12 +211,6 @@ class Aligner(Chunks):
         return sizes[:, :4], groups, np.searchsorted(doc, np.arange(len(bounds))), known[code], times
 
 
-@lru_cache(maxsize=1)
-def aligner(file_a: str, file_b: str) -> Aligner:
-    """The aligner of a Python worker, which serves one task after the other."""
-    return Aligner(file_a, file_b)
-
-
 def _steps(pairs: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sorted pairs as steps from one to the next, from 0 for each document: small numbers."""
     out = np.diff(pairs, prepend=0)
@@ -222,8 +238,10 @@ def align(docs: DataFrame, file_a: str, file_b: str) -> DataFrame:
     are not space + text, has no tokens. NULL doc_ids stay; repeated rows count each.
     """
 
+    kept = docs.sparkSession.sparkContext.broadcast(Kept(Aligner, file_a, file_b))  # one for a worker's tasks
+
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = aligner(file_a, file_b)
+        own = kept.value.get()
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for part in sliced(batch, "text", 1 << 20):
@@ -269,7 +287,7 @@ def link_counts(docs: DataFrame, file_a: str, file_b: str, max_pairs: int = 4_00
     none. Other columns are not read. Up to `max_pairs` counts are broadcast; beyond that,
     documents' pairs are joined with them, salted, to the same result.
     """
-    n_b = aligner(file_a, file_b).n_b
+    n_b = Aligner(file_a, file_b).n_b
     aligned = written(align(docs, file_a, file_b))
     counts = written(pair_counts(aligned))
     top = counts.groupBy(F.floor(F.col("pair") / n_b).alias("a")).agg(F.max("docs").alias("top"))

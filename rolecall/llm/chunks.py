@@ -101,10 +101,14 @@ class Chunks:
         """Append what is to be known of new chunks; their places follow each other."""
         raise NotImplementedError
 
+    def shrink(self) -> None:
+        """Make room when `limit` is exceeded."""
+        self.clear()
+
     def places(self, chunks: list[str]) -> np.ndarray:
         """The place of each of these distinct chunks."""
         if self.held > self.limit:
-            self.clear()
+            self.shrink()
         known = self.known
         new = [c for c in chunks if c not in known]
         for i in range(0, len(new), self.TOGETHER):

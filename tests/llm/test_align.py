@@ -109,3 +109,32 @@ def test_cut():
     for t in ["a b", " a  b c", "x\n y", "x \n  y ", "", " "]:
         assert " ".join(cut(t)) == t
     assert cut("a  b\n c  ") == ["a", " b\n c  "]
+
+
+def test_full_cache_keeps_what_comes_again(both):
+    """Words that come again are aligned once, however often the cache is full; results stay the same."""
+
+    class Counted(Aligner):
+        learned = Counter()
+
+        def learn(self, chunks):
+            self.learned.update(chunks)
+            super().learn(chunks)
+
+    own = Counted(A, B, limit=20_000)
+    most = 0
+    for k in range(30):
+        text = "so the same words " + " ".join(f"w{k}x{i}" for i in range(40))
+        sizes, groups, *_ = own.align(pa.array([text]))
+        (_, n_a, n_b, n_groups, n_links, *_, said), = brute([(0, text)], *both)
+        assert sizes[0].tolist() == [n_a, n_b, n_groups, n_links]
+        assert hashlib.sha256(groups[0].encode()).hexdigest() == said
+        most = max(most, own.held)
+    assert own.learned["same"] == 1 and own.learned["w0x0"] == 1
+    assert most < 2 * own.limit and len(own.known) < 30 * 40
+
+
+def test_aligner_goes_with_the_step(documents, alive):
+    """The workers that aligned hold no aligner any more when they work on something else."""
+    assert link_counts(documents(["some words"] * 9), A, B).count() == 9
+    assert alive("Aligner") == 0
