@@ -39,14 +39,14 @@ def sample(spark):
 
 @pytest.fixture(scope="session")
 def alive(spark):
-    """Counts the objects of a class's name that the Python workers hold while later steps run."""
+    """Counts the objects of a class (its module and name) that the Python workers hold while later steps run."""
 
     def count(name):
         def work(batches):
             rows = sum(b.num_rows for b in batches)
             time.sleep(rows)  # so that each task has a worker of its own
             gc.collect()
-            yield pa.RecordBatch.from_arrays([pa.array([sum(type(x).__name__ == name for x in gc.get_objects())])], ["n"])
+            yield pa.RecordBatch.from_arrays([pa.array([sum(f"{type(x).__module__}.{type(x).__name__}" == name for x in gc.get_objects())])], ["n"])
 
         return sum(r.n for r in spark.range(0, 8, 1, 8).mapInArrow(work, "n long").collect())
 

@@ -137,4 +137,4 @@ def test_full_cache_keeps_what_comes_again(both):
 def test_aligner_goes_with_the_step(documents, alive):
     """The workers that aligned hold no aligner any more when they work on something else."""
     assert link_counts(documents(["some words"] * 9), A, B).count() == 9
-    assert alive("Aligner") == 0
+    assert alive("rolecall.llm.align.Aligner") == 0

@@ -87,4 +87,4 @@ def test_cut(length):
 def test_cache_goes_with_the_step(documents, alive):
     """The workers that packed hold no words any more when they work on something else."""
     assert pack(documents(["some words"] * 9), FILE).count() > 0
-    assert alive("Words") == 0
+    assert alive("rolecall.llm.packing.Words") == 0
