@@ -14,8 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # White space of Python's str, which holds that of the tokenizers' patterns.
-_SPACE = r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-ODD = f" ([{_SPACE}]|$)"
+SPACE = r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+ODD = f" ([{SPACE}]|$)"
 
 
 def sliced(batch: pa.RecordBatch, name: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:

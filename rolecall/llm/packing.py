@@ -10,19 +10,24 @@ capacity, and the last remainder is cut into powers of two, which need no paddin
 
 from __future__ import annotations
 
-import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from rolecall.llm.chunks import Chunks, Grown, byte_level, gather, sliced, split, vocabulary
+from rolecall.llm.chunks import SPACE, byte_level, sliced, split, vocabulary
 from rolecall.llm.common import Kept
 
 ID_BYTES = 4
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#$%&*|]+)?").fullmatch
+NONE = pa.scalar(b"", pa.large_binary())
+MARKS = ".,!?;:#$%&*|"
+LETTERS = "".join(c for c in map(chr, range(0x41, 0x100)) if c.isalpha() and c not in "ªµº")
+# A space or line break beside white space or at an end, each line break having a space before it.
+ODD_LINES = rf" ([{SPACE.replace("\\x{9}-", "\\x{9}\\x{b}-")}]|$)|\n([{SPACE}]|$)|[{SPACE}] \n|^ \n"
 PIECES = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -52,102 +57,134 @@ def cut(text: str) -> list[str]:
     return words
 
 
-class Words(Chunks):
-    """Token ids of words that follow a space, as runs of `ids`.
+def cut_lines(text: str) -> list[str]:
+    """The same for a text in which each line break has got one more space before it."""
+    return cut(text.replace(" \n", "\n"))
+
+
+def joined(counts: list[int] | np.ndarray, ids: np.ndarray) -> pa.Array:
+    """Stretches of ids, so many each, as bytes."""
+    ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]) * ID_BYTES
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+
+
+class Words:
+    """Token ids of texts, made once for each distinct word of a slice.
 
     A byte-level BPE tokenizer whose pattern takes one space with the word behind it never
-    joins tokens across such a cut. Nor does it join plain letters with the marks behind
-    them, so these go straight to the tokenizer's model, which is much faster than its
-    pattern. Both are asserted: the first for all words, the second for the first ones.
+    joins tokens across such a cut, nor across a single line break between words. Nor does it
+    join plain letters with the marks behind them, so these go straight to the tokenizer's
+    model, which is much faster than its pattern. The cut at spaces is asserted for all words
+    that need the pattern, the others for the first words. The `limit` pieces of letters and
+    marks that were used last stay known, in Arrow's memory, from slice to slice.
     """
 
-    def __init__(self, tokenizer_file: str, limit: int = 48_000_000):
+    #: Words that go through the pattern, or are asserted, at once.
+    TOGETHER = 4_000
+
+    def __init__(self, tokenizer_file: str, limit: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True  # their names in a text are plain text
         self.lengths = np.array([len(t) for t in vocabulary(self.tokenizer)], np.int64)
-        self.spelled = {b: c for c, b in byte_level().items()}
+        self.spelled = {b: c for c, b in byte_level().items() if b}  # NUL parts pieces
         self.tokenizer.model._resize_cache(0)  # of no use for words that come once
         self.tokenize = self.tokenizer.model.tokenize
         self.asserted = False
-        super().__init__(limit)
-
-    def clear(self) -> None:
-        super().clear()
-        self.ids, self.starts, self.counts = Grown(np.uint32), Grown(np.int64), Grown(np.int64)
-        self.parts: dict[str, list[int]] = {}
-
-    def piece(self, text: str) -> list[int]:
-        """Ids of what is one piece to the tokenizer's pattern."""
-        return [t.id for t in self.tokenize(text.encode().decode("latin-1").translate(self.spelled))]
-
-    def by_pattern(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, counts) by the whole tokenizer."""
-        text = " " + " ".join(chunks)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-        ends = np.cumsum(self.lengths[ids])
-        stops = np.cumsum([len(c.encode()) + 1 for c in chunks])
-        last = np.searchsorted(ends, stops)
-        if not np.array_equal(ends[last], stops):
-            raise ValueError("this tokenizer joins tokens across a space before a word")
-        return ids, np.diff(last, prepend=-1)
-
-    def learn(self, chunks: list[str]) -> None:
-        ids: list[int] = []
-        parts = self.parts  # letters behind a space, and marks
-        counts = np.zeros(len(chunks), np.int64)
-        odd, odd_at = [], []
-        for i, (c, found) in enumerate(zip(chunks, map(_PLAIN, chunks))):
-            if found is None:
-                odd.append(c)
-                odd_at.append(i)
-                continue
-            letters, marks = found.groups()
-            own = parts.get(letters)
-            if own is None:
-                own = parts[letters] = self.piece(" " + letters)
-            if marks:
-                after = parts.get(marks)
-                if after is None:
-                    after = parts[marks] = self.piece(marks)
-                own = own + after
-            counts[i] = len(own)
-            ids += own
-        if not self.asserted and ids:
-            plain = [c for c in chunks if _PLAIN(c)]
-            if self.by_pattern(plain)[0].tolist() != ids:
-                raise ValueError("this tokenizer has another pattern for letters and marks")
-            self.asserted = True
-        starts = np.cumsum(counts) - counts
-        more = np.array(ids, np.uint32)
-        if odd:
-            more_ids, counts[odd_at] = self.by_pattern(odd)
-            starts[odd_at] = len(more) + np.cumsum(counts[odd_at]) - counts[odd_at]
-            more = np.concatenate([more, more_ids])
-        self.starts.add(starts + self.ids.size)
-        self.counts.add(counts)
-        self.ids.add(more)
+        self.limit = limit
+        self.known, self.ids = pa.array([], pa.string()), joined([], np.zeros(0, "<u4"))
+
+    def pieces(self, pieces: pa.Array) -> pa.Array:
+        """Ids of what is one piece each, or nothing, to the tokenizer's pattern, as bytes."""
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary
+        places = pc.index_in(distinct, self.known)
+        new = distinct.filter(places.is_null())
+        ids = pa.concat_arrays([self.ids, self.spell(new)])
+        ids = ids.take(pc.if_else(places.is_null(), len(self.known) + np.cumsum(places.is_null()) - 1, places))
+        others = np.ones(len(self.known), bool)
+        others[places.drop_null()] = False
+        others = pa.array(np.flatnonzero(others)[: max(0, self.limit - len(distinct))])
+        self.ids = pa.concat_arrays([ids, self.ids.take(others)])
+        self.known = pa.concat_arrays([distinct, self.known.take(others)])
+        return ids.take(coded.indices)
+
+    def spell(self, pieces: pa.Array) -> pa.Array:
+        """The same by the tokenizer's model."""
+        ids, counts, tokenize = array("I"), [], self.tokenize
+        for i in range(0, len(pieces), self.TOGETHER):
+            text = "\0".join(pieces.slice(i, self.TOGETHER).to_pylist())
+            found = [tokenize(s) for s in text.encode().decode("latin-1").translate(self.spelled).split("\0")]
+            counts += map(len, found)
+            ids.extend([t.id for tokens in found for t in tokens])
+        return joined(counts, np.array(ids, "<u4"))
+
+    def whole(self, texts: list[str]) -> pa.Array:
+        """Ids of texts as bytes, by the whole tokenizer."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return joined([len(ids) for ids in found], np.array([i for ids in found for i in ids], "<u4"))
+
+    def by_pattern(self, words: list[str]) -> pa.Array:
+        """Ids of words that follow a space, by the whole tokenizer."""
+        found = []
+        for i in range(0, len(words), self.TOGETHER):
+            some = words[i : i + self.TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum(self.lengths[ids])
+            stops = np.cumsum([len(w.encode()) + 1 for w in some])
+            last = np.searchsorted(ends, stops)
+            if not np.array_equal(ends[last], stops):
+                raise ValueError("this tokenizer joins tokens across a space before a word")
+            found.append(joined(np.diff(last, prepend=-1), ids))
+        return pa.concat_arrays([joined([], np.zeros(0, "<u4")), *found])
+
+    def words(self, words: pa.Array, lead: np.ndarray) -> pa.Array:
+        """Ids of words as bytes; `lead` is what stands before each: a space, a line break or nothing."""
+        letters, marks = pc.utf8_rtrim(words, MARKS), pc.utf8_ltrim(words, LETTERS)
+        sizes = [pc.binary_length(x).to_numpy(zero_copy_only=False) for x in (letters, marks, words)]
+        plain = (sizes[0] > 0) & (sizes[0] + sizes[1] == sizes[2])
+        spaced, others = np.flatnonzero(~plain & (lead == " ")), np.flatnonzero(~plain & (lead != " "))
+        lines = pa.array((lead == "\n").astype(np.int8))
+        letters, marks, first = (x.filter(pa.array(plain)) for x in (letters, marks, lines))
+        heads = pc.binary_join_element_wise(pa.array(np.where(lead[plain] == " ", " ", ""), pa.string()), letters, "")
+        ids = self.pieces(pa.concat_arrays([pa.array(["", "\n"]), heads, marks]))
+        breaks, heads, marks = ids.slice(0, 2), ids.slice(2, len(heads)), ids.slice(2 + len(heads))
+        ids = pc.binary_join_element_wise(breaks.take(first), heads, marks, NONE)
+        if not self.asserted and len(ids):
+            self.check(words.filter(pa.array(plain)), lead[plain], ids, breaks[1].as_py())
+        alone = self.whole(words.take(pa.array(others)).to_pylist())
+        alone = pc.binary_join_element_wise(breaks.take(lines.take(pa.array(others))), alone, NONE)
+        order = np.argsort(np.concatenate([np.flatnonzero(plain), spaced, others]))
+        by_space = self.by_pattern(words.take(pa.array(spaced)).to_pylist())
+        return pa.concat_arrays([ids, by_space, alone]).take(pa.array(order))
+
+    def check(self, words: pa.Array, lead: np.ndarray, ids: pa.Array, line: bytes) -> None:
+        """Asserts the ids of letters and marks; a word that has nothing before it is put behind a line break."""
+        some = list(zip(lead.tolist(), words.slice(0, self.TOGETHER).to_pylist(), ids.slice(0, self.TOGETHER).to_pylist()))
+        want = self.whole(["".join((at or "\n") + word for at, word, _ in some)])[0].as_py()
+        if want != b"".join(found if at else line + found for at, _, found in some):
+            raise ValueError("this tokenizer has another pattern for letters and marks")
+        self.asserted = True
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(bounds, ids): the ids of text i are ids[bounds[i]:bounds[i + 1]]."""
-        bounds, index, chunks = split(texts, cut)
-        full = np.flatnonzero(np.diff(bounds))
-        at = bounds[:-1][full]  # the first word of a text has no space before it
-        first = [e.ids for e in self.tokenizer.encode_batch_fast(chunks.take(pa.array(index[at])).to_pylist(), add_special_tokens=False)]
-        later = np.ones(len(index), bool)
-        later[at] = False
-        used = np.unique(index[later])
-        place = np.zeros(len(chunks), np.int64)
-        place[used] = self.places(chunks.take(pa.array(used)).to_pylist())
-        place = place[index[later]]
-        starts, counts = np.zeros((2, len(index)), np.int64)
-        starts[later], counts[later] = self.starts.values[place], self.counts.values[place]
-        room = np.concatenate([self.ids.values, np.array([i for ids in first for i in ids], np.uint32)])
-        sizes = np.fromiter(map(len, first), np.int64, len(first))
-        starts[at], counts[at] = self.ids.size + np.cumsum(sizes) - sizes, sizes
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        return ends[bounds], room[gather(starts, counts)]
+        texts = pc.replace_substring(texts.cast(pa.string()), "\n", " \n")
+        bounds, index, chunks = split(texts, cut_lines, ODD_LINES)
+        at = bounds[:-1][np.diff(bounds) > 0]  # the first word of a text has nothing before it
+        firsts = chunks.take(pa.array(index[at]))
+        index = index.astype(np.int64)
+        index[at] = len(chunks) + np.arange(len(at))
+        used = np.bincount(index, minlength=len(chunks) + len(at)) > 0
+        index = (np.cumsum(used) - 1)[index]
+        chunks = chunks.filter(pa.array(used[: len(chunks)]))
+        lines = pc.starts_with(chunks, "\n").to_numpy(zero_copy_only=False)
+        lead = np.concatenate([np.where(lines, "\n", " "), np.full(len(at), "")])
+        ids = self.words(pa.concat_arrays([pc.ascii_ltrim(chunks, "\n"), firsts]), lead).take(pa.array(index))
+        if not len(ids):
+            return bounds, np.zeros(0, "<u4")
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1] // ID_BYTES
+        return ends[bounds], np.frombuffer(ids.buffers()[2], "<u4")[: ends[-1]]
 
 
 def harmonic_cut(length: int, capacity: int, least: int) -> list[int]:
@@ -243,7 +280,7 @@ def pack(
         for batch in batches:
             for part in sliced(batch, "text"):
                 bounds, ids = cache.encode(part.column("text"))
-                data, bounds = ids.astype("<u4").tobytes(), (bounds * ID_BYTES).tolist()
+                data, bounds = ids.tobytes(), (bounds * ID_BYTES).tolist()
                 for doc_id, a, b in zip(part.column("doc_id").to_pylist(), bounds, bounds[1:]):
                     worker.add(doc_id, data[a:b] + end)
                 yield rows()
