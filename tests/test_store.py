@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rolecall.operators import list_terms
 from rolecall.plans.ingest import ingest
 from rolecall.schemas import JOBS, PAGE
-from rolecall.sources import PostingStore, read_pages, read_postings, shared_dir
+from rolecall.sources import PostingStore, conf_set, read_pages, read_postings, shared_dir
 from rolecall.streaming import ingest_landed
 
 START = datetime(2024, 1, 1)
@@ -337,3 +337,25 @@ def test_large_buckets_are_split(spark, shared):
 
 def test_shared_dir_follows_the_cluster(spark):
     assert shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_steps_of_the_stream_leave_little_behind(spark, shared):
+    """No step lists all files seen so far anew, and a step has at most a file per core."""
+    landing, checkpoint = f"{shared}/landing", f"{shared}/checkpoint"
+    store = PostingStore(spark, f"{shared}/store", buckets=2)
+    names = [f"spark.sql.{n}" for n in (
+        "sources.parallelPartitionDiscovery.parallelism", "streaming.fileSource.log.compactInterval")]
+    before = [spark.conf.get(n) for n in names]
+    for run in range(11):
+        land(landing, f"{run}", run_pages(1, run, [run]))
+    ingest_landed(spark, landing, store, checkpoint, files_per_batch=1)
+    assert len(store.names("arrived/landing")) == 11
+    assert not [n for n in os.listdir(f"{checkpoint}/sources/0") if n.endswith(".compact")]
+    for run in range(11, 51):
+        land(landing, f"{run}", run_pages(1, run, [run]))
+    with conf_set(spark, {"spark.sql.files.maxPartitionBytes": "64k"}):  # each file is a partition
+        ingest_landed(spark, landing, store, checkpoint, files_per_batch=100)
+    files = [n for n in store.names("arrived/landing/step=11") if n.endswith(".parquet")]
+    assert len(files) <= spark.sparkContext.defaultParallelism
+    assert sorted(content(store), key=int) == [str(i) for i in range(51)]
+    assert [spark.conf.get(n) for n in names] == before
