@@ -16,7 +16,7 @@ from rolecall.operators import (
 )
 from rolecall.plans.ingest import prepare
 from rolecall.schemas import PAGE
-from rolecall.sources import read_pages
+from rolecall.sources import conf_set, read_pages
 
 AT = datetime(2024, 1, 1)
 
@@ -192,3 +192,19 @@ def test_json_pages(spark, shared):
     assert (a.date_posted, a.fetched_at, a.failure) == (AT, datetime(2024, 1, 1, 6), None)
     assert (b.external_id, b.title, b.company, b.country, b.skills, b.failure) == ("18", "", None, None, [], None)
     assert (c.external_id, c.failure) == ("", "missing_id")
+
+
+def test_pages_move_once_for_facts_of_their_run(spark):
+    """Runs that failed, runs that are spoiled and times of completion meet the pages in one join."""
+    pages = [page("a", 1, ["x", "y"]), page("a", 2, ["y"]), page("b", 1, ["x"]), page("c", 1, ["z"]), page("c", 2, None, error="e")]
+    spoiled = spark.createDataFrame([("b",)], "run_id string")
+    with conf_set(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        rows = prepare(frame(spark, pages), spoiled=spoiled)
+        lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+        found = rows.collect()
+    moved = [a for a, b in zip(lines, lines[1:]) if "Exchange hashpartitioning" in a and "results" in b]
+    assert len(moved) == 1, moved
+    assert sorted((r.run_id, r.external_id) for r in found) == [("a", "x"), ("a", "y")]
+    ruled = prepare(frame(spark, pages), 2, 3, spoiled).collect()
+    assert sorted((r.run_id, r.external_id) for r in ruled) == [("a", "x"), ("a", "y"), ("c", "z")]
+    assert {r._completed for r in found + ruled} == {AT}
