@@ -8,7 +8,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from rolecall.operators import list_terms
+from rolecall.operators import latest_writes, list_terms
+from rolecall.operators.upsert import DEALT
 from rolecall.plans.ingest import ingest
 from rolecall.schemas import JOBS, PAGE
 from rolecall.sources import PostingStore, conf_set, read_pages, read_postings, shared_dir
@@ -359,3 +360,45 @@ def test_steps_of_the_stream_leave_little_behind(spark, shared):
     assert len(files) <= spark.sparkContext.defaultParallelism
     assert sorted(content(store), key=int) == [str(i) for i in range(51)]
     assert [spark.conf.get(n) for n in names] == before
+
+
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {n for d in manager.localDirs() for _, _, names in os.walk(d.getPath()) for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffles_go_with_their_step(spark, shared):
+    """A batch leaves no shuffle files behind, and nothing cached."""
+    store = PostingStore(spark, f"{shared}/store", buckets=2)
+    land(f"{shared}/pages", "a", run_pages(1, 1, [1, 2, 3]) + run_pages(1, 2, [3], error="HTTP 503"))
+    land(f"{shared}/more", "b", run_pages(2, 1, [2, 5], title="new"))
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own, before = spark.conf.get(name), shuffle_files(spark)
+    for folder in ("pages", "more"):
+        ingest(store, read_pages(spark, f"{shared}/{folder}"), folder)
+    assert shuffle_files(spark) <= before
+    assert spark.conf.get(name) == own and not spark.sparkContext._jsc.getPersistentRDDs()
+    assert {k: v[0] for k, v in content(store).items()} == {"1": "Dev 1", "2": "New 2", "3": "Dev 3", "5": "New 5"}
+
+
+def test_contents_are_shuffled_once_for_their_bucket(spark, shared):
+    """Neither stored rows nor writes move again to be written; a bucket is in few files."""
+    store = PostingStore(spark, shared, buckets=40)
+    store.commit(rows_of(spark, *map(str, range(400))), "one", range(40))
+    staged = store.stage(rows_of(spark, *map(str, range(200, 600))).withColumn("title", F.lit("new")))
+    outcomes = staged.select("external_id", "bucket", "_staged", "fetched_at", F.lit("updated").alias("outcome"))
+    plain = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    with conf_set(spark, plain | DEALT):
+        writes = latest_writes(outcomes, staged, JOBS.names, [["_staged"]], place=["bucket"], parts=store.parts(40))
+        others = store._others(set(range(40)), 1, outcomes)
+        for rows in (writes, others):
+            lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+            moved = [a for a, b in zip(lines, lines[1:]) if "Exchange" in a and "description#" in b]
+            assert len(moved) == 1 and "hashpartitioning(bucket#" in moved[0]
+            tasks = rows.select("bucket", F.spark_partition_id().alias("task")).distinct()
+            assert tasks.groupBy("bucket").count().filter("count > 1").isEmpty()
+    store.commit(writes, "two", range(40), written=outcomes)
+    assert {r.external_id: r.title for r in store.read().collect()} == {
+        str(i): "t" if i < 200 else "new" for i in range(600)}
+    found = [n for b in range(40) for n in store.names(f"data/version=2/bucket={b}") if n.endswith(".parquet")]
+    assert len(found) <= 80
